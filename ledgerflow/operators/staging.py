@@ -123,16 +123,35 @@ def _check_scope(scope: str) -> None:
         raise ValueError(f"dedup_scope must be one of {DEDUP_SCOPES}, got {scope!r}")
 
 
+def orders_touching(rides: DataFrame, period: Period) -> DataFrame:
+    """Every source row (any period) of an order that has a row in the period.
+
+    A semi join on ``order_id`` with null-safe equality, so the null order id
+    is one order as in the window. Used by short (monthly) runs: the
+    whole-source dedup then shuffles only the orders the period can keep.
+    """
+    keys = rides.where(in_period_by_start(period)).select(F.col("order_id").alias("_oid"))
+    return rides.join(keys, rides["order_id"].eqNullSafe(keys["_oid"]), "left_semi")
+
+
 def stage_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OUTLIER_THRESHOLD,
-                dedup_scope: str = "source") -> DataFrame:
+                dedup_scope: str = "source", prune_orders: bool = False) -> DataFrame:
     """Clean, typed, deduplicated rides of the period.
 
     ``dedup_scope="source"`` (the reference's staging) deduplicates the whole
     source and then keeps the period, so a later copy in another period is
     dropped here; ``"period"`` restricts to the period first.
+    ``prune_orders`` gives the same rows for a source-scoped dedup while
+    shuffling only orders that occur in the period (worth it when the period
+    is a small part of the source).
     """
     _check_scope(dedup_scope)
-    src = rides.where(in_period_by_start(period)) if dedup_scope == "period" else rides
+    if dedup_scope == "period":
+        src = rides.where(in_period_by_start(period))
+    elif prune_orders and dedup_scope == "source":
+        src = orders_touching(rides, period)
+    else:
+        src = rides
     winners = first_per_order(guard_outlier(guard_not_null(src), threshold), dedup_scope)
     if dedup_scope != "period":
         winners = winners.where(in_period_by_start(period))
