@@ -77,7 +77,31 @@ def _store(wh: Warehouse, name: str, df: DataFrame, period: Period, full_refresh
     else:
         t.replace(df, period)
     months = period.months()
-    return t.read_months(months[0].start, months[-1].start)
+    return t.read_months(months[0].start, months[-1].start, df.schema)
+
+
+_RUN_SOURCE = "run-source"
+
+
+def _prepare_source(spark: SparkSession, rides: DataFrame, period: Period, wh: Warehouse,
+                    full_refresh: bool) -> DataFrame:
+    """Write the staging input once to the shared work folder and read it back.
+
+    Staging deduplicates over whole orders, so a period run needs every source
+    row of the orders that occur in the period (a null-safe semi join); the
+    quarantine needs the period rows, a subset. Writing it cuts the lineage
+    and spares both outputs from re-deriving the source.
+    """
+    needed = rides if full_refresh else staging.orders_touching(rides, period)
+    path = f"{wh.work_dir}/{_RUN_SOURCE}"
+    needed.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rides.schema).parquet(path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _gate(result: RunResult, layer: str, tables: dict, books: Books, mode: str) -> None:
@@ -105,14 +129,18 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
     wh = warehouse
     in_period = period.contains(F.col("ride_date"))
 
-    # staging: the whole-source dedup only needs the orders present in the period
-    staged = staging.stage_rides(books.rides, period, prune_orders=not full_refresh)
-    rejected = staging.quarantine_rides(books.rides, period)
+    # staging: both outputs read one materialized input, the source rows of every
+    # order that occurs in the period (all rows on a full refresh)
+    source = _prepare_source(spark, books.rides, period, wh, full_refresh)
+    staged = staging.stage_rides(source, period)
+    rejected = staging.quarantine_rides(source, period)
     stg = _store(wh, "stg_rides", staged.withColumn("loaded_at", ts), period, full_refresh)
     qua = _store(wh, "stg_rides_quarantine", rejected.withColumn("quarantined_at", ts), period,
                  full_refresh)
-    rules = posting.posting_rules(books.rules)
-    accounts = posting.chart_of_accounts(books.accounts)
+    _drop(spark, f"{wh.work_dir}/{_RUN_SOURCE}")
+    # reference tables: size-checked once per run, then broadcast by hint
+    rules = posting.bounded_broadcast(posting.posting_rules(books.rules))
+    accounts = posting.bounded_broadcast(posting.chart_of_accounts(books.accounts))
     _gate(res, "staging", {"stg_rides": stg.where(in_period),
                            "stg_rides_quarantine": qua.where(in_period),
                            "stg_account_mapping": rules, "stg_chart_of_accounts": accounts},
@@ -124,7 +152,8 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
     _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate)
 
     # marts: ledger, then trial balance of the period's months
-    gl = posting.general_ledger(jr.where(in_period).drop("loaded_at"), rules, accounts)
+    gl = posting.general_ledger(jr.where(in_period).drop("loaded_at"), rules, accounts,
+                                broadcast_check=False)
     gl = _store(wh, "fct_general_ledger", gl.withColumn("loaded_at", ts), period, full_refresh)
     _gate(res, "general_ledger", {"fct_general_ledger": gl.where(in_period)}, books, gate)
 
@@ -133,7 +162,7 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
     _gate(res, "trial_balance", {"fct_trial_balance": tb}, books, gate)
 
     # reports: income statement on the period's months, balance sheet cumulative
-    all_tb = wh.read("fct_trial_balance")
+    all_tb = wh.table("fct_trial_balance").read(tb.schema)
     isd = statements.income_statement_detail(all_tb, period)
     isd = _store(wh, "rpt_income_statement_detail", isd, period, full_refresh)
     iss = statements.income_statement_summary(isd, period)
