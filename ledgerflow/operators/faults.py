@@ -65,10 +65,14 @@ def mark_picks(df: DataFrame, rate: float, seed_text: str) -> DataFrame:
     h = F.col("_h")
     rest = hashed.where(~h.startswith(prefix)).withColumn("_hit", h < F.lit(prefix))
     # The boundary prefix holds at most BOUNDARY_ROWS rows (checked by the
-    # histogram), so ranking it in one window partition is bounded work.
+    # histogram). They are ranked and brought back as a small local relation,
+    # so the result scans ``df`` once and a chain of faults stays linear.
     edge = hashed.where(h.startswith(prefix))
     rank = F.row_number().over(Window.orderBy(h, *ride_order()))
-    return rest.unionByName(edge.withColumn("_hit", rank <= m))
+    marked = edge.withColumn("_hit", rank <= m)
+    edge_rows = marked.collect()
+    local = df.sparkSession.createDataFrame(edge_rows, marked.schema)
+    return rest.unionByName(local)
 
 
 def fault_sample(df: DataFrame, rate: float, seed_text: str) -> DataFrame:

@@ -84,9 +84,9 @@ def direct_income_statement(rides: DataFrame, rules: DataFrame, accounts: DataFr
         "coupon_rows")
     # A country without coupons has no expense line.
     lines = lines.where((F.col("section") == "Revenue") | (F.col("coupon_rows") > 0)).drop("coupon_rows")
+    names = bounded_broadcast(accounts.select("account_code", "account_name"))
     acct = bounded_broadcast(rules.select("line_type", "country", "account_code")
-                             .join(accounts.select("account_code", "account_name"), "account_code",
-                                   "left"))
+                             .join(names, "account_code", "left"))
     return (lines.join(acct, ["line_type", "country"], "left")
             .select("sort_order", "section", "account_code", "account_name", "country", "amount"))
 

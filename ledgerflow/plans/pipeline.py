@@ -12,6 +12,7 @@ executor only recomputes the layer being built.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -83,6 +84,14 @@ def _store(wh: Warehouse, name: str, df: DataFrame, period: Period, full_refresh
 _RUN_SOURCE = "run-source"
 
 
+def _together(*jobs):
+    """Run independent writes as concurrent Spark jobs (they share the cores
+    instead of queueing); results in order, the first error is raised."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(j) for j in jobs]
+        return [f.result() for f in futures]
+
+
 def _prepare_source(spark: SparkSession, rides: DataFrame, period: Period, wh: Warehouse,
                     full_refresh: bool) -> DataFrame:
     """Write the staging input once to the shared work folder and read it back.
@@ -134,9 +143,10 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
     source = _prepare_source(spark, books.rides, period, wh, full_refresh)
     staged = staging.stage_rides(source, period)
     rejected = staging.quarantine_rides(source, period)
-    stg = _store(wh, "stg_rides", staged.withColumn("loaded_at", ts), period, full_refresh)
-    qua = _store(wh, "stg_rides_quarantine", rejected.withColumn("quarantined_at", ts), period,
-                 full_refresh)
+    stg, qua = _together(
+        lambda: _store(wh, "stg_rides", staged.withColumn("loaded_at", ts), period, full_refresh),
+        lambda: _store(wh, "stg_rides_quarantine", rejected.withColumn("quarantined_at", ts),
+                       period, full_refresh))
     _drop(spark, f"{wh.work_dir}/{_RUN_SOURCE}")
     # reference tables: size-checked once per run, then broadcast by hint
     rules = posting.bounded_broadcast(posting.posting_rules(books.rules))
@@ -146,15 +156,26 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
                            "stg_account_mapping": rules, "stg_chart_of_accounts": accounts},
           books, gate)
 
-    # intermediate: journal lines of the period's staged rides
-    jr = journal.journal_entries(stg.where(in_period)).withColumn("loaded_at", ts)
-    jr = _store(wh, "int_journal_entries", jr, period, full_refresh)
-    _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate)
-
-    # marts: ledger, then trial balance of the period's months
-    gl = posting.general_ledger(jr.where(in_period).drop("loaded_at"), rules, accounts,
-                                broadcast_check=False)
-    gl = _store(wh, "fct_general_ledger", gl.withColumn("loaded_at", ts), period, full_refresh)
+    # intermediate and ledger. Under a stopping gate the ledger waits for the
+    # journal's checks; otherwise both are derived from the stored staged rows
+    # (the explosion is narrow, cheap to repeat) and written concurrently.
+    jr_fresh = journal.journal_entries(stg.where(in_period))
+    if gate == "stop":
+        jr = _store(wh, "int_journal_entries", jr_fresh.withColumn("loaded_at", ts), period,
+                    full_refresh)
+        _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate)
+        gl_fresh = posting.general_ledger(jr.where(in_period).drop("loaded_at"), rules, accounts,
+                                          broadcast_check=False)
+        gl = _store(wh, "fct_general_ledger", gl_fresh.withColumn("loaded_at", ts), period,
+                    full_refresh)
+    else:
+        gl_fresh = posting.general_ledger(jr_fresh, rules, accounts, broadcast_check=False)
+        jr, gl = _together(
+            lambda: _store(wh, "int_journal_entries", jr_fresh.withColumn("loaded_at", ts), period,
+                           full_refresh),
+            lambda: _store(wh, "fct_general_ledger", gl_fresh.withColumn("loaded_at", ts), period,
+                           full_refresh))
+        _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate)
     _gate(res, "general_ledger", {"fct_general_ledger": gl.where(in_period)}, books, gate)
 
     tb = balances.trial_balance(gl.drop("loaded_at"), period)
@@ -163,14 +184,16 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
 
     # reports: income statement on the period's months, balance sheet cumulative
     all_tb = wh.table("fct_trial_balance").read(tb.schema)
-    isd = statements.income_statement_detail(all_tb, period)
-    isd = _store(wh, "rpt_income_statement_detail", isd, period, full_refresh)
-    iss = statements.income_statement_summary(isd, period)
-    iss = _store(wh, "rpt_income_statement_summary", iss, period, full_refresh)
-    bsd = statements.balance_sheet_detail(all_tb, period)
-    bsd = _store(wh, "rpt_balance_sheet_detail", bsd, period, full_refresh)
-    bss = statements.balance_sheet_summary(bsd, period)
-    bss = _store(wh, "rpt_balance_sheet_summary", bss, period, full_refresh)
+    isd, bsd = _together(
+        lambda: _store(wh, "rpt_income_statement_detail",
+                       statements.income_statement_detail(all_tb, period), period, full_refresh),
+        lambda: _store(wh, "rpt_balance_sheet_detail",
+                       statements.balance_sheet_detail(all_tb, period), period, full_refresh))
+    iss, bss = _together(
+        lambda: _store(wh, "rpt_income_statement_summary",
+                       statements.income_statement_summary(isd, period), period, full_refresh),
+        lambda: _store(wh, "rpt_balance_sheet_summary",
+                       statements.balance_sheet_summary(bsd, period), period, full_refresh))
     on_end = period.contains(F.col("period_end"))
     on_report = period.contains(F.col("report_date"))
     _gate(res, "reports", {"rpt_income_statement_detail": isd.where(on_end),
