@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
 from ledgerflow.operators.staging import ride_order
+from ledgerflow.session import keep
 
 # Stop narrowing once the boundary prefix holds at most this many rows.
 BOUNDARY_ROWS = 20_000
@@ -59,6 +60,8 @@ def _boundary(hashed: DataFrame, n: int) -> tuple[str, int]:
 
 def mark_picks(df: DataFrame, rate: float, seed_text: str) -> DataFrame:
     """``df`` with a boolean ``_hit`` column on exactly the picked rows."""
+    # count, histogram rounds, the boundary and the final pass all read df
+    df = keep(df)
     n = fault_count(df.count(), rate)
     hashed = df.withColumn("_h", pick_hash(seed_text))
     prefix, m = _boundary(hashed, n)

@@ -130,7 +130,9 @@ def orders_touching(rides: DataFrame, period: Period) -> DataFrame:
     is one order as in the window. Used by short (monthly) runs: the
     whole-source dedup then shuffles only the orders the period can keep.
     """
-    keys = rides.where(in_period_by_start(period)).select(F.col("order_id").alias("_oid"))
+    # distinct first: a hot order id collapses map-side before the shuffle
+    keys = (rides.where(in_period_by_start(period))
+            .select(F.col("order_id").alias("_oid")).distinct())
     return rides.join(keys, rides["order_id"].eqNullSafe(keys["_oid"]), "left_semi")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.operators import balances, journal, posting, staging, statements
 from ledgerflow.periods import Period
+from ledgerflow.session import keep
 from ledgerflow.sources import adapter
 
 # Query parameters: the whole date range of the driver tables, and one month.
@@ -28,6 +29,11 @@ class Ledger:
     sf_dir: str
     period: Period = FULL
     dedup_scope: str = "source"
+    # Checkpoint each layer when many branches of one query read it (see session.keep).
+    materialize: bool = False
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return keep(df) if self.materialize else df
 
     @cached_property
     def books(self) -> adapter.Books:
@@ -39,23 +45,23 @@ class Ledger:
 
     @cached_property
     def staged(self) -> DataFrame:
-        return staging.stage_rides(self.rides, self.period, dedup_scope=self.dedup_scope)
+        return self._keep(staging.stage_rides(self.rides, self.period, dedup_scope=self.dedup_scope))
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        return staging.quarantine_rides(self.rides, self.period)
+        return self._keep(staging.quarantine_rides(self.rides, self.period))
 
     @cached_property
     def journal(self) -> DataFrame:
-        return journal.journal_entries(self.staged)
+        return self._keep(journal.journal_entries(self.staged))
 
     @cached_property
     def ledger(self) -> DataFrame:
-        return posting.general_ledger(self.journal, self.books.rules, self.books.accounts)
+        return self._keep(posting.general_ledger(self.journal, self.books.rules, self.books.accounts))
 
     @cached_property
     def trial_balance(self) -> DataFrame:
-        return balances.trial_balance(self.ledger)
+        return self._keep(balances.trial_balance(self.ledger))
 
     @cached_property
     def is_detail(self) -> DataFrame:

@@ -20,6 +20,7 @@ from ledgerflow.operators import (balances, billing, faults, journal, posting, q
 from ledgerflow.periods import Period, bounds_columns
 from ledgerflow.plans.context import (FULL, MONTH, PREVIEW_ROWS, TRACE_ACCOUNT, TRACE_COUNTRY,
                                       Ledger)
+from ledgerflow.session import keep
 from ledgerflow.sources import adapter, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -322,8 +323,13 @@ def check_tables(lg: Ledger) -> dict[str, DataFrame]:
     }
 
 
+def _checked(spark, sf_dir) -> Ledger:
+    # every layer is read by several check branches
+    return Ledger(spark, sf_dir, FULL, materialize=True)
+
+
 def _report(spark, sf_dir) -> DataFrame:
-    lg = _full(spark, sf_dir)
+    lg = _checked(spark, sf_dir)
     return quality.check_report(check_tables(lg), lg.books.countries)
 
 
@@ -333,7 +339,7 @@ def dq_report(spark, sf_dir):
 
 def _checks_of(kind: str):
     def q(spark, sf_dir):
-        lg = _full(spark, sf_dir)
+        lg = _checked(spark, sf_dir)
         tables = check_tables(lg)
         frames = []
         for model, df in tables.items():
@@ -398,7 +404,7 @@ def inject_country(spark, sf_dir):
 
 def _scenario(name: str, rides: DataFrame, books: adapter.Books) -> DataFrame:
     """One scenario's before/after figures as tagged partial rows (summed later)."""
-    staged = staging.stage_rides(rides, FULL)
+    staged = keep(staging.stage_rides(keep(rides), FULL))
     gl = posting.general_ledger(journal.journal_entries(staged), books.rules, books.accounts)
     tb = balances.trial_balance(gl)
     cat, net = F.col("account_category"), F.col("net_balance")

@@ -55,3 +55,22 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     os.makedirs(fallback, exist_ok=True)
     sc.setCheckpointDir(fallback)
     return fallback
+
+
+def has_checkpoint_dir(spark: SparkSession) -> bool:
+    sc = spark.sparkContext
+    return bool(sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None))
+
+
+def keep(df):
+    """Cut the lineage of a DataFrame that several branches of one plan read.
+
+    Uses a reliable checkpoint in the shared folder the session names; when
+    the session names none, the frame is returned as is (recomputed per
+    branch) rather than written to a machine-local folder.
+    """
+    spark = df.sparkSession
+    if not has_checkpoint_dir(spark):
+        return df
+    checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
