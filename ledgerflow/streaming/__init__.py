@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The workload this package rebuilds is a batch ledger: billing rows arrive as a
+file per period and each period is (re)processed as a whole, with period
+replacement in the stored tables (``ledgerflow.plans.pipeline``). It has no
+stream sources, watermarks or stateful operators, so none are provided here;
+duplicate event delivery, the streaming concern it mentions, is handled by the
+batch dedup and quarantine in ``ledgerflow.operators.staging``.
+"""
