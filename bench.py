@@ -50,7 +50,7 @@ def timed(fn) -> float:
 
 def main() -> None:
     work = os.environ.get("BENCH_WORK") or tempfile.mkdtemp(prefix="ledgerflow-bench-")
-    spark = build_session(f"local[{CPUS}]", "ledgerflow-bench", shuffle_partitions=max(8, 2 * CPUS),
+    spark = build_session(f"local[{CPUS}]", "ledgerflow-bench", shuffle_partitions=CPUS,
                           extra={"spark.driver.memory": "16g",
                                  "spark.checkpoint.dir": os.path.join(work, "checkpoints")})
     checkpoint_dir(spark)

@@ -139,3 +139,37 @@ def test_sink_transforms(spark):
     out = append_new_columns(old, wide)
     assert out.columns == ["k", "d", "v", "note"]
     assert out.where("note is null").count() == 4
+
+
+def test_fault_evaluation_end_to_end(spark, workdir, clean_books):
+    """Prevention faults are filtered and every gate passes; the country fault
+    is detected by the staging gate and the run stops."""
+    from ledgerflow.operators import faults
+    from ledgerflow.sources.adapter import Books
+    faulted = faults.inject_faults(clean_books.rides, rates={"null": 0.1, "outlier": 0.1,
+                                                             "duplicate": 0.1})
+    books = Books(faulted, clean_books.rules, clean_books.accounts, clean_books.countries)
+    wh = Warehouse(spark, os.path.join(workdir, "prevent"))
+    res = run_period(spark, books, JAN, wh, TS)
+    assert res.failing == []
+    reasons = {r.rejection_reason for r in wh.read("stg_rides_quarantine").collect()}
+    assert reasons == {"null_financial_amount", "outlier_amount", "duplicate_order"}
+
+    bad = Books(faults.inject_faults(clean_books.rides, ["country"], rates={"country": 0.5}),
+                clean_books.rules, clean_books.accounts, clean_books.countries)
+    with pytest.raises(quality.QualityError) as err:
+        run_period(spark, bad, JAN, Warehouse(spark, os.path.join(workdir, "detect")), TS)
+    assert ("stg_rides", "accepted_values", "country") in {(m, k, c) for m, k, c, _ in err.value.failing}
+
+
+def test_mid_month_report_date_and_cumulative_month(spark, workdir, clean_books):
+    """report_date is the exact end date, but balances cover its whole month."""
+    from ledgerflow.operators import balances, journal as jmod, posting as pmod, staging, statements
+    full = staging.stage_rides(clean_books.rides, JAN)
+    gl = pmod.general_ledger(jmod.journal_entries(full), clean_books.rules, clean_books.accounts)
+    tb = balances.trial_balance(gl)
+    mid = Period(date(2026, 1, 1), date(2026, 1, 10))
+    bs_mid = statements.balance_sheet_summary(statements.balance_sheet_detail(tb, mid)).collect()[0]
+    bs_end = statements.balance_sheet_summary(statements.balance_sheet_detail(tb, JAN)).collect()[0]
+    assert bs_mid.report_date == date(2026, 1, 10)
+    assert bs_mid.total_assets == bs_end.total_assets
