@@ -113,6 +113,11 @@ def _drop(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _whole_months(period: Period) -> bool:
+    months = period.months()
+    return period.start == months[0].start and period.end == months[-1].end
+
+
 def _gate(result: RunResult, layer: str, tables: dict, books: Books, mode: str) -> None:
     if mode == "off":
         return
@@ -170,16 +175,27 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
                     full_refresh)
     else:
         gl_fresh = posting.general_ledger(jr_fresh, rules, accounts, broadcast_check=False)
-        jr, gl = _together(
+        jobs = [
             lambda: _store(wh, "int_journal_entries", jr_fresh.withColumn("loaded_at", ts), period,
                            full_refresh),
             lambda: _store(wh, "fct_general_ledger", gl_fresh.withColumn("loaded_at", ts), period,
-                           full_refresh))
+                           full_refresh)]
+        # For whole months the stored ledger of those months is exactly the
+        # fresh one, so the trial balance can be built alongside.
+        if _whole_months(period):
+            jobs.append(lambda: _store(wh, "fct_trial_balance",
+                                       balances.trial_balance(gl_fresh, period), period,
+                                       full_refresh))
+        done = _together(*jobs)
+        jr, gl = done[0], done[1]
         _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate)
     _gate(res, "general_ledger", {"fct_general_ledger": gl.where(in_period)}, books, gate)
 
-    tb = balances.trial_balance(gl.drop("loaded_at"), period)
-    tb = _store(wh, "fct_trial_balance", tb, period, full_refresh)
+    if gate == "stop" or not _whole_months(period):
+        tb = balances.trial_balance(gl.drop("loaded_at"), period)
+        tb = _store(wh, "fct_trial_balance", tb, period, full_refresh)
+    else:
+        tb = done[2]
     _gate(res, "trial_balance", {"fct_trial_balance": tb}, books, gate)
 
     # reports: income statement on the period's months, balance sheet cumulative
