@@ -173,3 +173,13 @@ def test_mid_month_report_date_and_cumulative_month(spark, workdir, clean_books)
     bs_end = statements.balance_sheet_summary(statements.balance_sheet_detail(tb, JAN)).collect()[0]
     assert bs_mid.report_date == date(2026, 1, 10)
     assert bs_mid.total_assets == bs_end.total_assets
+
+
+def test_empty_period_runs_and_reports_null_equity(spark, workdir, clean_books):
+    wh = Warehouse(spark, os.path.join(workdir, "wh"))
+    res = run_period(spark, clean_books, Period.month(2025, 6), wh, TS, gate="warn")
+    assert wh.read("stg_rides").count() == 0
+    bsd = wh.read("rpt_balance_sheet_detail").collect()
+    assert [(r.section, r.balance) for r in bsd] == [("Equity", None)]
+    assert ("rpt_balance_sheet_detail", "not_null", "balance") in \
+        {(m, k, c) for m, k, c, _ in res.failing}
