@@ -6,10 +6,14 @@ one classification column, so the source is scanned once per output.
 
 Scale notes
 -----------
-* Staging keeps the first row per ``order_id`` with ``row_number() == 1``.
-  Catalyst plans that as a WindowGroupLimit: a partial top-1 per order runs
-  before the exchange, so even an order id that holds a third of all rows
-  (or the null order id) ships at most one row per map task.
+* Only orders with several clean rows need ranking. Order sizes come from a
+  narrow aggregate on the order key (map-side combine), and rows are routed by
+  null-safe semi/anti joins that AQE broadcasts while the multi-row key set is
+  small, so single-row orders are never shuffled.
+* Multi-row orders keep their first row with ``row_number() == 1``. Catalyst
+  plans that as a WindowGroupLimit: a partial top-1 per order runs before the
+  exchange, so even an order id that holds a third of all rows (or the null
+  order id) ships at most one row per map task.
 * Duplicates are "every clean row except the winner of its order". They are
   found as a multiset difference keyed by the whole row (counts of +1 for each
   clean row, -1 for each winner), which is a hash aggregate with map-side
@@ -97,9 +101,40 @@ def first_per_order(clean: DataFrame, scope: str = "source") -> DataFrame:
             .drop("_dedup_rn"))
 
 
+def split_by_order_size(clean: DataFrame, scope: str = "source") -> tuple[DataFrame, DataFrame]:
+    """Clean rows of orders with exactly one clean row, and of orders with several.
+
+    Only the second part can hold duplicates or needs ranking. Order sizes are
+    a narrow aggregate on the order key (map-side combine, so a hot order
+    collapses before the shuffle); rows are then routed by null-safe semi and
+    anti joins against the multi-row keys, which AQE broadcasts when that key
+    set is small (duplicates are rare), so single-row orders never shuffle.
+    """
+    keyed = clean.withColumn("_k0", F.col("order_id"))
+    keys = ["_k0"]
+    if scope == "month":
+        keyed = keyed.withColumn("_k1", F.trunc(F.to_date("start_time"), "month"))
+        keys.append("_k1")
+    multi = (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+             .select(*[F.col(k).alias(f"_m{k}") for k in keys]))
+    cond = None
+    for k in keys:
+        c = keyed[k].eqNullSafe(multi[f"_m{k}"])
+        cond = c if cond is None else cond & c
+    single = keyed.join(multi, cond, "left_anti").drop(*keys)
+    several = keyed.join(multi, cond, "left_semi").drop(*keys)
+    return single, several
+
+
+def winners_per_order(clean: DataFrame, scope: str = "source") -> DataFrame:
+    """First row of every order: single-row orders as they are, the others ranked."""
+    single, several = split_by_order_size(clean, scope)
+    return single.unionByName(first_per_order(several, scope))
+
+
 def dedup_orders(rides: DataFrame, threshold: Decimal = S.OUTLIER_THRESHOLD) -> DataFrame:
     """Clean rows of the whole source with one row per order id."""
-    return first_per_order(guard_outlier(guard_not_null(rides), threshold))
+    return winners_per_order(guard_outlier(guard_not_null(rides), threshold))
 
 
 def staged_projection(df: DataFrame) -> DataFrame:
@@ -156,7 +191,7 @@ def stage_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OUTLIER
         src = orders_touching(rides, period)
     else:
         src = rides
-    winners = first_per_order(guard_outlier(guard_not_null(src), threshold), dedup_scope)
+    winners = winners_per_order(guard_outlier(guard_not_null(src), threshold), dedup_scope)
     if dedup_scope != "period":
         winners = winners.where(in_period_by_start(period))
     return staged_projection(winners)
@@ -165,17 +200,22 @@ def stage_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OUTLIER
 def _counted_rejects(rides: DataFrame, threshold: Decimal, scope: str) -> DataFrame:
     """Rejected rows as distinct contents with a copy count."""
     classified = classify(rides, threshold).select(*S.RIDE_COLUMNS, "rejection_reason")
-    clean = classified.where(F.col("rejection_reason").isNull())
-    winners = first_per_order(clean, scope)
-    # One aggregate over whole rows: every source row counts +1 and every
-    # winner -1, so what is left of a clean row are its duplicate copies.
-    return (classified.withColumn("_n", F.lit(1))
+    guarded = (classified.where(F.col("rejection_reason").isNotNull())
+               .groupBy(*S.RIDE_COLUMNS, "rejection_reason")
+               .agg(F.count(F.lit(1)).alias("_copies")))
+    clean = classified.where(F.col("rejection_reason").isNull()).select(*S.RIDE_COLUMNS)
+    # Duplicates exist only in orders with several clean rows: every such row
+    # counts +1 and every winner -1, aggregated by whole row, so what is left
+    # of a row are its duplicate copies (exact copies collapse map-side).
+    _, several = split_by_order_size(clean, scope)
+    winners = first_per_order(several, scope)
+    dups = (several.withColumn("_n", F.lit(1))
             .unionByName(winners.withColumn("_n", F.lit(-1)))
-            .groupBy(*S.RIDE_COLUMNS, "rejection_reason")
+            .groupBy(*S.RIDE_COLUMNS)
             .agg(F.sum("_n").alias("_copies"))
             .where(F.col("_copies") > 0)
-            .withColumn("rejection_reason",
-                        F.coalesce(F.col("rejection_reason"), F.lit(S.DUPLICATE_REASON))))
+            .withColumn("rejection_reason", F.lit(S.DUPLICATE_REASON)))
+    return guarded.unionByName(dups)
 
 
 SEQ_KEYS = ["order_id", "ride_id", "rejection_reason"]
