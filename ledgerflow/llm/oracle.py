@@ -9,7 +9,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP4 = f"""
 WITH w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), {_BLANKS}), x -> x <> '') AS ws FROM documents),
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), {_BLANKS}), lambda x: x <> '') AS ws FROM documents),
 win AS (
   SELECT doc_id, s, array_to_string(list_slice(ws, s, s + 49), ' ') AS body
   FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS s FROM w WHERE len(ws) >= 50)),
@@ -28,7 +28,7 @@ FROM w LEFT JOIN kept USING (doc_id)
 OP8 = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_BLANKS}),
-                             x -> x <> '') AS ws FROM documents),
+                             lambda x: x <> '') AS ws FROM documents),
 sh AS (
   SELECT DISTINCT doc_id, array_to_string(list_slice(ws, s, s + 4), ' ') AS g
   FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS s FROM w WHERE len(ws) > 0)),
