@@ -2,10 +2,11 @@
 
 A document is its set of distinct five-word shingles. Equal sets form a class first; a class is
 represented by its smallest id. Bands of MinHash values bring representatives together. Within a
-bucket every member is compared with the bucket's smallest id only (a star, not all pairs); what
-the stars leave apart is then compared across components, so that no link between different texts
-is lost to the star. Each proposed pair goes through batches of signature values: after every batch
-it is dropped if the posterior probability of a similarity at or over the threshold falls under
+bucket every member is compared with the bucket's smallest id only (a star, not all pairs). While
+much is left apart, the buckets get further stars around other members; what they still leave in
+different components is compared pair by pair, so that no link between different texts is lost. Each proposed pair goes through batches of signature values: across components, a sketch of
+four-bit values is tested in the join itself; after every batch a pair
+is dropped if the posterior probability of a similarity at or over the threshold falls under
 ``MISS``. Survivors are verified exactly on the full sets, and links are merged into components.
 
 With ``BANDS`` bands of ``ROWS`` values a pair at similarity 0.75 is proposed with probability
@@ -21,10 +22,11 @@ named like the results give way.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import gram_hashes, mixed, stash, word_hashes
@@ -34,6 +36,12 @@ THRESHOLD = 75  # per cent
 BANDS, ROWS = 40, 5
 BATCH = 40
 MISS = 1e-6
+# Stars are repeated while all pairs across components would be more than so many a row.
+PAIRS_A_ROW = 4
+# ... and a star's pairs bring at least this share of links.
+USEFUL = 0.1
+# Values of the sketch that pairs across components are tested with, four bits each.
+SKETCH = 640
 _FAMILY = 20240611
 
 
@@ -46,9 +54,8 @@ def shingle_set(text: bytes | None) -> np.ndarray:
     return np.unique(mixed(gram_hashes(word_hashes().of(words), n), n))
 
 
-def _family() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(_FAMILY)
-    k = BANDS * ROWS
+def _family(k: int = BANDS * ROWS, seed: int = _FAMILY) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
     return (rng.integers(0, 1 << 32, k, dtype=np.uint32) | np.uint32(1)), rng.integers(0, 1 << 32, k, dtype=np.uint32)
 
 
@@ -90,7 +97,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 bands.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names)
+                 pa.array(sigs, pa.binary()),
+                 pa.array(bands, pa.list_(pa.int64()))], names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(sign, "doc_id long, n_shingles long, k1 long, k2 long, sig binary, bands array<long>")
@@ -114,6 +122,29 @@ def fewest_matches(threshold: float, miss: float, total: int, batch: int) -> lis
     return out
 
 
+def most_differences(threshold: float, miss: float, total: int, values: int) -> int:
+    """Differences among so many folded values at which the posterior still stays at ``miss`` or over."""
+    grid = np.linspace(0.0005, 0.9995, 1000)
+    agree = grid + (1 - grid) / values
+    for d in range(total, 0, -1):
+        like = (total - d) * np.log(agree) + d * np.log(1 - agree)
+        post = np.exp(like - like.max())
+        if post[grid >= threshold].sum() >= miss * post.sum():
+            return d
+    return 0
+
+
+def sketch_differences(x: str, y: str) -> Column:
+    """How many of the four-bit values of two sketches differ."""
+    total = F.lit(0)
+    for i in range(SKETCH // 16):
+        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
+        pairs = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        any_bit = pairs.bitwiseOR(F.shiftrightunsigned(pairs, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = total + F.bit_count(any_bit)
+    return total
+
+
 def bayesian_survivors(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs (a, b) whose signatures leave the threshold possible, and whose set sizes do."""
     k = BANDS * ROWS
@@ -160,6 +191,33 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
 
 
+def open_traits(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, bits) and (doc_id, alone) of some documents.
+
+    ``bits``: ``SKETCH`` further MinHash values, four bits each, in longs. ``alone``: how many
+    shingles no other of these documents has.
+    """
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family = _family(SKETCH, _FAMILY + 1)
+        for batch in batches:
+            out = []
+            for text in batch.column(1).cast(pa.binary()).to_pylist():
+                v = (mixed(minhash(shingle_set(text), family, 256).astype(np.uint64)) & np.uint64(15)).astype(np.uint8)
+                out.append((v[::2] << 4 | v[1::2]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "bits"])
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                s = shingle_set(text).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), doc)), pa.array(s)], ["doc_id", "shingle"])
+
+    alone = (texts.mapInArrow(shingles, "doc_id long, shingle long")
+             .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1")
+             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone")))
+    return texts.mapInArrow(sketch, "doc_id long, bits array<long>"), alone
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over undirected edges (a, b), for every id in an edge.
 
@@ -198,20 +256,58 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = stash(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
                   .join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
     links = stash(verified(bayesian_survivors(star, reps), texts), "near-links")
-    joined = components(links)
-    # Members of one bucket that the stars left in different components meet here.
-    labelled = members.join(joined, F.col("doc_id") == F.col("id"), "left").select(
-        "key", "doc_id", "first", F.coalesce("component", "doc_id").alias("component"))
-    apart = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo < hi").select("key"))
-    open_rows = labelled.filter(F.col("first") < F.col("doc_id")).join(apart, "key", "left_semi")
-    open_rows = stash(open_rows.select("key", "doc_id", "component"), "near-open")
-    left = open_rows.select("key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-    right = open_rows.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-    across = (left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-              .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
-    more = verified(bayesian_survivors(across, reps), texts)
-    final = components(links.unionByName(more))
+    tested = star
+    sizes = reps.select("doc_id", "n_shingles")
+    for turn in count(1):
+        # Members of one bucket that are still in different components, but for the first stars' centres.
+        joined = components(links)
+        labelled = members.join(joined, F.col("doc_id") == F.col("id"), "left").select(
+            "key", "doc_id", "first", F.coalesce("component", "doc_id").alias("component"))
+        apart = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                 .filter("lo < hi").select("key"))
+        open_rows = stash(labelled.filter(F.col("first") < F.col("doc_id")).join(apart, "key", "left_semi")
+                          .select("key", "doc_id", "component").join(sizes, "doc_id"), "near-open")
+        by_component = open_rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+        load = (by_component.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2"))
+                .agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("n2")) / 2).alias("pairs")).first())
+        if not load["rows"] or load["pairs"] <= PAIRS_A_ROW * load["rows"]:
+            break
+        # Too many pairs for now: another star in each bucket, around a member chosen by hash.
+        centre = open_rows.groupBy("key").agg(F.min_by(
+            F.struct("doc_id", "component"), F.xxhash64(F.lit(turn), "key", "doc_id")).alias("c"))
+        again = (open_rows.join(centre, "key").filter(F.col("component") != F.col("c.component"))
+                 .select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b"))
+                 .distinct().join(tested, ["a", "b"], "left_anti"))
+        again = stash(again, "near-star")
+        new = stash(verified(bayesian_survivors(again, reps), texts), "near-links")
+        tested = tested.unionByName(again)
+        gained = new.count()
+        links = links.unionByName(new)
+        if gained < USEFUL * again.count():
+            joined = components(links)
+            break
+    open_texts = texts.join(open_rows.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    bits, alone = open_traits(open_texts)
+    # A pair shares nothing of what one document has alone: that bounds its similarity.
+    open_rows = (open_rows.drop("component").join(joined, F.col("doc_id") == F.col("id"), "left")
+                 .join(alone, "doc_id", "left")
+                 .withColumn("common", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
+                 .filter(100 * F.col("common") >= THRESHOLD * F.col("n_shingles"))
+                 .select("key", "doc_id", "n_shingles", "common", F.coalesce("component", "doc_id").alias("component"))
+                 .join(bits, "doc_id").join(reps.select("doc_id", "bands"), "doc_id"))
+    open_rows = stash(open_rows, "near-open")
+    x, y = open_rows.alias("x"), open_rows.alias("y")
+    # The join tests the bound, that this is the pair's first common bucket, and the sketch.
+    most = F.least("x.common", "y.common")
+    possible = ((F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component"))
+                & (100 * most >= THRESHOLD * (F.col("x.n_shingles") + F.col("y.n_shingles") - most))
+                & (F.get(F.array_intersect("x.bands", "y.bands"), F.lit(0)) == F.col("x.key"))
+                & (sketch_differences("x.bits", "y.bits") <= most_differences(THRESHOLD / 100, MISS, SKETCH, 16)))
+    across = (x.join(y, (F.col("x.key") == F.col("y.key")) & possible)
+              .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+              .join(tested, ["a", "b"], "left_anti"))
+    more = stash(verified(bayesian_survivors(across, reps), texts), "near-links")
+    final = joined if more.isEmpty() else components(links.unionByName(more))
     rep_of = classes.join(final, F.col("rep") == F.col("id"), "left").select(
         F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "k1", "k2").join(
