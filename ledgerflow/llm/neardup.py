@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     across = (x.join(y, (F.col("x.key") == F.col("y.key")) & possible)
               .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
               .join(tested, ["a", "b"], "left_anti"))
-    more = stash(verified(bayesian_survivors(across, reps), texts), "near-links")
+    more = stash(verified(across, texts), "near-links")
     final = joined if more.isEmpty() else components(links.unionByName(more))
     rep_of = classes.join(final, F.col("rep") == F.col("id"), "left").select(
         F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component", "rep").alias("component_id"))
