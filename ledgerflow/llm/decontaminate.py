@@ -53,45 +53,41 @@ PLAIN, NUM, UNIT, NAME = 0, 1, 2, 3
 
 
 class Vocabulary(dict):
-    """Word -> row of the token table: template hash, kind, name hash, ends a sentence, value."""
+    """Word -> row of the token table: template hash, kind, capitalised, ends a sentence, value."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 800_000):
         super().__init__()
         self.limit = limit
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.rows: list[tuple[int, int, bool, bool]] = []
         self.values: list[str] = []
-        self.table = None
+        self.token = np.zeros(1024, np.uint64)
+        self.kind, self.capital, self.ends = np.zeros(1024, np.int8), np.zeros(1024, bool), np.zeros(1024, bool)
 
     def __missing__(self, word: str) -> int:
-        core = _EDGE.sub("", word)
+        core = word if word.isalpha() else _EDGE.sub("", word)
         low = core.lower()
-        if _NUMBER.match(core) or low in NUMBERS:
+        kind = PLAIN
+        if low in NUMBERS or not low.isalpha() and _NUMBER.match(core):
             kind = NUM
         elif low in UNITS:
             kind = UNIT
-        else:
-            kind = PLAIN
-        token = f"<{kind}>" if kind else low
-        capital = kind == PLAIN and core[:1].isupper() and core[1:2].islower()
-        ends = word[-1:] in ".!?:;" or word[-2:-1] in ".!?"
-        at = self[word] = len(self.rows)
-        self.rows.append((xxhash.xxh64_intdigest(token) if core else 0, kind, capital, ends))
+        at = self[word] = len(self.values)
+        if at == len(self.token):
+            for name in ("token", "kind", "capital", "ends"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate((old, np.zeros_like(old))))
+        self.token[at] = xxhash.xxh64_intdigest(f"<{kind}>" if kind else low) if core else 0
+        self.kind[at] = kind
+        self.capital[at] = kind == PLAIN and core[:1].isupper() and core[1:2].islower()
+        self.ends[at] = word[-1:] in ".!?:;" or word[-2:-1] in ".!?"
         self.values.append(low)
-        self.table = None
         return at
 
     def look_up(self, words: list[str]):
         if len(self) > self.limit:
-            self.reset()
+            self.clear()
+            self.values.clear()
         ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.table is None:
-            self.table = (np.array([r[0] for r in self.rows], np.uint64), np.array([r[1] for r in self.rows], np.int8),
-                          np.array([r[2] for r in self.rows], bool), np.array([r[3] for r in self.rows], bool))
-        return ids, *(column[ids] for column in self.table)
+        return ids, self.token[ids], self.kind[ids], self.capital[ids], self.ends[ids]
 
 
 _NAME_HASH = xxhash.xxh64_intdigest("<3>")
