@@ -78,7 +78,7 @@ class Vocabulary(dict):
         self.token[at] = xxhash.xxh64_intdigest(f"<{kind}>" if kind else low) if core else 0
         self.kind[at] = kind
         self.capital[at] = kind == PLAIN and core[:1].isupper() and core[1:2].islower()
-        self.ends[at] = word[-1:] in ".!?:;" or word[-2:-1] in ".!?"
+        self.ends[at] = word[-1] in ".!?:;" or word[-2:-1] in (".", "!", "?")
         self.values.append(low)
         return at
 
