@@ -41,7 +41,7 @@ PAIRS_A_ROW = 4
 # ... and a star's pairs bring at least this share of links.
 USEFUL = 0.1
 # Values of the sketch that pairs across components are tested with, four bits each.
-SKETCH = 640
+SKETCH = 1280
 _FAMILY = 20240611
 
 
