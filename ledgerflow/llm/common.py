@@ -41,9 +41,13 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
 
 
 def worker_state(name: str, make: Callable[[], Any]) -> Any:
-    """What a Python worker keeps from task to task (word memories, tables, tokenizers)."""
+    """What a Python worker keeps from task to task: a word memory, a table or a tokenizer.
+
+    It keeps one at a time, so that a worker that serves several operators stays small.
+    """
     kept = vars(sys).setdefault("_llm_worker_state", {})
     if name not in kept:
+        kept.clear()
         kept[name] = make()
     return kept[name]
 

@@ -55,7 +55,7 @@ PLAIN, NUM, UNIT, NAME = 0, 1, 2, 3
 class Vocabulary(dict):
     """Word -> row of the token table: template hash, kind, capitalised, ends a sentence, value."""
 
-    def __init__(self, limit: int = 800_000):
+    def __init__(self, limit: int = 500_000):
         super().__init__()
         self.limit = limit
         self.values: list[str] = []
