@@ -58,8 +58,8 @@ def _digits(value: Column) -> Column:
 
 def _ip_valid(value: Column) -> Column:
     def at_most_255(part: Column) -> Column:
-        short = F.ltrim(F.lit("0"), part)
-        return (F.length(short) <= 3) & (F.coalesce(F.try_to_number(short, F.lit("999")), F.lit(0)) <= 255)
+        short = F.ltrim(part, F.lit("0"))
+        return (F.length(short) <= 3) & (F.lpad(short, 3, "0") <= "255")
     return F.forall(F.split(value, r"\."), at_most_255)
 
 
@@ -72,7 +72,8 @@ def _mod_97(value: Column) -> Column:
         code = F.ascii(char)
         return F.when(code < 58, (rest * 10 + code - 48) % 97).otherwise((rest * 100 + code - 55) % 97)
 
-    return F.aggregate(F.split(turned, "(?!^)"), F.lit(0), step)
+    characters = F.filter(F.split(turned, ""), lambda c: c != "")
+    return F.aggregate(characters, F.lit(0), step)
 
 
 def _valid(kind: str, value: Column) -> Column:
