@@ -85,7 +85,8 @@ def rides_per_country(rides: DataFrame) -> DataFrame:
 
 
 def billing_validation(rides: DataFrame, rules: DataFrame) -> DataFrame:
-    """Checks of a billing extract in one row (decimal arithmetic, tolerance 0.02)."""
+    """Checks of a billing extract in one row (decimal arithmetic, tolerances 0.02, and 0.01 for
+    double entry)."""
     tol = F.lit(0.02).cast("decimal(3,2)")
     vat_diff = F.abs(F.col("vat_amount") - F.round(F.col("amount") * F.col("vat_rate"), 2))
     sum_diff = F.abs(F.col("sum_with_vat_amount") - (F.col("amount") + F.col("vat_amount")))
@@ -112,4 +113,4 @@ def billing_validation(rides: DataFrame, rules: DataFrame) -> DataFrame:
     return (stats.withColumn("mapping_row_count", mapping_rows)
             .withColumn("vat_calculation_ok", F.col("vat_calculation_max_diff") < tol)
             .withColumn("sum_with_vat_ok", F.col("sum_with_vat_max_diff") < tol)
-            .withColumn("double_entry_balanced", F.col("double_entry_balance_diff") < tol))
+            .withColumn("double_entry_balanced", F.col("double_entry_balance_diff") < F.lit(0.01).cast("decimal(3,2)")))

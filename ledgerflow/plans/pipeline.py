@@ -12,6 +12,7 @@ executor only recomputes the layer being built.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -37,6 +38,9 @@ TABLES = {
     "rpt_balance_sheet_detail": "report_date",
     "rpt_balance_sheet_summary": "report_date",
 }
+# Tables with one row per month and account: a run rebuilds the months it touches.
+MONTHLY = frozenset(["fct_trial_balance"])
+
 GATE_MODES = ("stop", "warn", "off")
 
 
@@ -47,7 +51,7 @@ class Warehouse:
     spark: SparkSession
     root: str
     work_dir: str | None = None
-    whole_months: bool = True
+    whole_months: bool = False
 
     def __post_init__(self):
         if self.work_dir is None:
@@ -55,7 +59,7 @@ class Warehouse:
 
     def table(self, name: str) -> PeriodTable:
         return PeriodTable(self.spark, f"{self.root}/{name}", TABLES[name], self.work_dir,
-                           self.whole_months)
+                           self.whole_months or name in MONTHLY)
 
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
@@ -81,9 +85,6 @@ def _store(wh: Warehouse, name: str, df: DataFrame, period: Period, full_refresh
     return t.read_months(months[0].start, months[-1].start, df.schema)
 
 
-_RUN_SOURCE = "run-source"
-
-
 def _together(*jobs):
     """Run independent writes as concurrent Spark jobs (they share the cores
     instead of queueing); results in order, the first error is raised."""
@@ -93,7 +94,7 @@ def _together(*jobs):
 
 
 def _prepare_source(spark: SparkSession, rides: DataFrame, period: Period, wh: Warehouse,
-                    full_refresh: bool) -> DataFrame:
+                    full_refresh: bool) -> tuple[DataFrame, str]:
     """Write the staging input once to the shared work folder and read it back.
 
     Staging deduplicates over whole orders, so a period run needs every source
@@ -102,9 +103,9 @@ def _prepare_source(spark: SparkSession, rides: DataFrame, period: Period, wh: W
     and spares both outputs from re-deriving the source.
     """
     needed = rides if full_refresh else staging.orders_touching(rides, period)
-    path = f"{wh.work_dir}/{_RUN_SOURCE}"
-    needed.write.mode("overwrite").parquet(path)
-    return spark.read.schema(rides.schema).parquet(path)
+    path = f"{wh.work_dir}/run-source-{uuid.uuid4().hex}"
+    needed.write.parquet(path)
+    return spark.read.schema(rides.schema).parquet(path), path
 
 
 def _drop(spark: SparkSession, path: str) -> None:
@@ -145,14 +146,14 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
 
     # staging: both outputs read one materialized input, the source rows of every
     # order that occurs in the period (all rows on a full refresh)
-    source = _prepare_source(spark, books.rides, period, wh, full_refresh)
+    source, source_path = _prepare_source(spark, books.rides, period, wh, full_refresh)
     staged = staging.stage_rides(source, period)
     rejected = staging.quarantine_rides(source, period)
     stg, qua = _together(
         lambda: _store(wh, "stg_rides", staged.withColumn("loaded_at", ts), period, full_refresh),
         lambda: _store(wh, "stg_rides_quarantine", rejected.withColumn("quarantined_at", ts),
                        period, full_refresh))
-    _drop(spark, f"{wh.work_dir}/{_RUN_SOURCE}")
+    _drop(spark, source_path)
     # reference tables: size-checked once per run, then broadcast by hint
     rules = posting.bounded_broadcast(posting.posting_rules(books.rules))
     accounts = posting.bounded_broadcast(posting.chart_of_accounts(books.accounts))

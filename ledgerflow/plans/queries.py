@@ -39,6 +39,11 @@ def _month(spark, sf_dir) -> Ledger:
     return Ledger(spark, sf_dir, MONTH)
 
 
+def _to_month(spark, sf_dir) -> Ledger:
+    """Everything up to the month's end: what a cumulative sheet of that date sums."""
+    return Ledger(spark, sf_dir, Period(FULL.start, MONTH.end))
+
+
 # -- sources and sinks ---------------------------------------------------------
 
 def scan_rides(spark, sf_dir):
@@ -234,11 +239,11 @@ def income_statement_summary(spark, sf_dir):
 
 
 def balance_sheet_detail(spark, sf_dir):
-    return _month(spark, sf_dir).bs_detail
+    return _to_month(spark, sf_dir).bs_detail
 
 
 def balance_sheet_summary(spark, sf_dir):
-    return _month(spark, sf_dir).bs_summary
+    return _to_month(spark, sf_dir).bs_summary
 
 
 def statement_lines_ordered(spark, sf_dir):

@@ -107,7 +107,7 @@ def test_mid_month_delete_bounds(spark, workdir):
     schema = "k string, d date, v int"
     rows = [("early", date(2026, 1, 3), 1), ("late", date(2026, 1, 20), 1)]
     mid = Period(date(2026, 1, 15), date(2026, 1, 31))
-    exact = PeriodTable(spark, os.path.join(workdir, "exact"), "d", workdir, whole_months=False)
+    exact = PeriodTable(spark, os.path.join(workdir, "exact"), "d", workdir)
     whole = PeriodTable(spark, os.path.join(workdir, "whole"), "d", workdir, whole_months=True)
     for t in (exact, whole):
         t.overwrite(spark.createDataFrame(rows, schema))
@@ -116,6 +116,25 @@ def test_mid_month_delete_bounds(spark, workdir):
     assert sorted(r.k for r in whole.read().collect()) == ["late"]
 
 
+def test_replace_loses_no_row_and_no_column(spark, workdir):
+    t = PeriodTable(spark, os.path.join(workdir, "t"), "d", workdir)
+    t.overwrite(spark.createDataFrame([("a", date(2026, 1, 5), 1, "n"), ("f", date(2026, 2, 5), 1, "m")],
+                                      "k string, d date, v int, note string"))
+    t.replace(spark.createDataFrame([("a2", date(2026, 1, 6), 2), ("nul", None, 2), ("feb", date(2026, 2, 7), 2),
+                                     ("mar", date(2026, 3, 7), 2)], "k string, d date, v int"), JAN)
+    assert sorted((r.k, r.note) for r in t.read().select("k", "note").fillna("-").collect()) == [
+        ("a2", "-"), ("f", "m"), ("feb", "-"), ("mar", "-"), ("nul", "-")]
+
+
+def test_mid_month_run_keeps_earlier_days(spark, workdir, clean_books):
+    wh = Warehouse(spark, os.path.join(workdir, "wh"))
+    run_period(spark, clean_books, JAN, wh, TS)
+    before = [sorted(map(str, wh.read(n).drop("loaded_at").collect())) for n in ("stg_rides", "fct_trial_balance")]
+    run_period(spark, clean_books, Period(date(2026, 1, 15), date(2026, 1, 31)), wh, TS)
+    after = [sorted(map(str, wh.read(n).drop("loaded_at").collect())) for n in ("stg_rides", "fct_trial_balance")]
+    assert before == after
+
+
 def test_long_period_replaces_monthly_snapshots(spark, workdir, clean_books):
     wh = Warehouse(spark, os.path.join(workdir, "wh"))
     backfill(spark, clean_books, Period(date(2026, 1, 1), date(2026, 2, 28)), wh, TS)
