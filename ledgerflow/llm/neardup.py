@@ -135,13 +135,14 @@ def most_differences(threshold: float, miss: float, total: int, values: int) ->
 
 
 def sketch_differences(x: str, y: str) -> Column:
-    """How many of the four-bit values of two sketches differ."""
+    """How many of the four-bit values of two sketches differ.
+
+    Sixty-four values stand in four longs, one for each bit: a value differs where any bit does.
+    """
     total = F.lit(0)
-    for i in range(SKETCH // 16):
-        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
-        pairs = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        any_bit = pairs.bitwiseOR(F.shiftrightunsigned(pairs, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        total = total + F.bit_count(any_bit)
+    for i in range(0, SKETCH // 16, 4):
+        planes = [F.get(F.col(x), F.lit(i + j)).bitwiseXOR(F.get(F.col(y), F.lit(i + j))) for j in range(4)]
+        total = total + F.bit_count(planes[0].bitwiseOR(planes[1]).bitwiseOR(planes[2]).bitwiseOR(planes[3]))
     return total
 
 
@@ -191,10 +192,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
 
 
+def bit_planes(values: np.ndarray) -> np.ndarray:
+    """Four-bit values as longs: for every 64 values, the long of their bits 0, then 1, 2 and 3."""
+    planes = [np.packbits((values.reshape(-1, 64) >> j) & 1, axis=1).view(np.int64) for j in range(4)]
+    return np.hstack(planes).reshape(-1)
+
+
 def open_traits(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, bits) and (doc_id, alone) of some documents.
 
-    ``bits``: ``SKETCH`` further MinHash values, four bits each, in longs. ``alone``: how many
+    ``bits``: ``SKETCH`` further MinHash values, four bits each, as bit planes. ``alone``: how many
     shingles no other of these documents has.
     """
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +210,7 @@ def open_traits(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             out = []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 v = (mixed(minhash(shingle_set(text), family, 256).astype(np.uint64)) & np.uint64(15)).astype(np.uint8)
-                out.append((v[::2] << 4 | v[1::2]).view(np.int64))
+                out.append(bit_planes(v))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "bits"])
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -293,6 +293,15 @@ def test_leaks_hold_every_contained_item(spark, texts):
 
 # -- op8 ---------------------------------------------------------------------------
 
+def test_sketch_differences_count_values(spark):
+    rng = np.random.default_rng(5)
+    x, y = (rng.integers(0, 16, neardup.SKETCH).astype(np.uint8) for _ in range(2))
+    y[::3] = x[::3]
+    row = spark.createDataFrame([(neardup.bit_planes(x).tolist(), neardup.bit_planes(y).tolist())],
+                                "x array<long>, y array<long>")
+    assert row.select(neardup.sketch_differences("x", "y")).first()[0] == int((x != y).sum())
+
+
 def test_near_duplicates_edges(spark):
     base = [f"w{k}" for k in range(200)]
     rows = [" ".join(base), " ".join(base).upper(), " ".join(base[:100] + ["new"] + base[100:]), " ".join(base[:100])] + EDGES
