@@ -10,7 +10,8 @@ from typing import Any
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Odd multiplier of the polynomial hashes over word hashes (arithmetic is modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
@@ -40,6 +41,40 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A key with at least HOT_ROWS rows may be hot; the HOT_KEYS largest are spread. A key with more than
+# a thousandth of all rows is always one of them.
+HOT_ROWS = 1000
+HOT_KEYS = 1000
+
+
+def hot_keys(counted: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """The largest keys of ``counted`` (one row a key) and ``parts``, the number of ways to spread each.
+
+    At most ``HOT_KEYS`` rows, so it may be broadcast.
+    """
+    return (counted.filter(F.col(rows) >= HOT_ROWS).orderBy(F.desc(rows), *keys).limit(HOT_KEYS)
+            .select(*keys, F.ceil(F.col(rows) / HOT_ROWS).alias("parts")))
+
+
+def spread_join(rows: DataFrame, table: DataFrame, hot: DataFrame, keys: list[str], by: Column,
+                how: str = "inner") -> DataFrame:
+    """Equi-join of ``rows`` with ``table`` (one row a key), the hot keys' rows dealt by ``by`` to several tasks.
+
+    A hot key's row of ``table`` is repeated once a part; rows with a null key, which match nothing,
+    are dealt too.
+    """
+    hot = F.broadcast(hot)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    part = (F.when(no_key, F.xxhash64(by)).when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(by), F.col("parts")))
+            .otherwise(F.lit(0)))
+    dealt = rows.join(hot, keys, "left").withColumn("__part", part).drop("parts")
+    parts = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("parts"), F.lit(1)) - 1)
+    repeated = table.join(hot, keys, "left").withColumn("__part", F.explode(parts)).drop("parts")
+    return dealt.join(repeated, [*keys, "__part"], how).drop("__part")
+
+
 def worker_state(name: str, make: Callable[[], Any]) -> Any:
     """What a Python worker keeps from task to task: a word memory, a table or a tokenizer.
 

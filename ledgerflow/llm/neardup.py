@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import gram_hashes, mixed, stash, word_hashes
+from ledgerflow.llm.common import gram_hashes, hot_keys, mixed, spread_join, stash, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 75  # per cent
@@ -250,7 +250,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
     signed = stash(signatures(docs, id_col, text_col), "near-signatures")
     usable = signed.filter("doc_id is not null and n_shingles > 0")
-    classes = usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    classes = stash(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")),
+                    "near-classes")
     reps = stash(usable.join(classes.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
                  .dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sig", "bands"), "near-reps")
     bucketed = reps.select("doc_id", F.explode("bands").alias("key"))
@@ -316,9 +317,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = stash(verified(across, texts), "near-links")
     final = joined if more.isEmpty() else components(links.unionByName(more))
     rep_of = classes.join(final, F.col("rep") == F.col("id"), "left").select(
-        F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component", "rep").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "k1", "k2").join(
-        rep_of, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left")
+        "k1", "k2", F.coalesce("component", "rep").alias("component_id"))
+    # A class of exact copies may hold a third of all rows.
+    out = spread_join(signed.select("doc_id", "n_shingles", "k1", "k2"), rep_of, hot_keys(classes, ["k1", "k2"], "n"),
+                      ["k1", "k2"], F.col("doc_id"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
