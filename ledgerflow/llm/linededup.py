@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.common import hot_keys, spread_join, stash
+
 MIN_SITES = 10
 MAX_SHARE = 0.5
 # The sketches have 2**LOG_K registers: a standard error of 1.6 %. Estimates within NEAR of the
@@ -39,17 +41,26 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(plain).alias("a"), F.xxhash64(F.lit(20177), plain).alias("b"))
 
 
-def common_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source",
+def likely_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source",
+                 min_sites: int = MIN_SITES) -> DataFrame:
+    """(key, estimate, n): lines that by their sketch may be on ``min_sites`` sites, and how often they occur."""
+    sketched = _sites(docs, text_col, site_col).groupBy("key").agg(
+        F.hll_sketch_estimate(F.hll_sketch_agg("site", LOG_K)).alias("estimate"), F.count(F.lit(1)).alias("n"))
+    return stash(sketched.filter(F.col("estimate") >= min_sites * (1 - NEAR)), "likely-lines")
+
+
+def _sites(docs: DataFrame, text_col: str, site_col: str) -> DataFrame:
+    """(site, key) of every line that is not blank."""
+    return (docs.select(F.col(site_col).cast("string").alias("site"), F.explode(_lines(F.col(text_col))).alias("line"))
+            .filter("trim(line) <> ''").select("site", _key(F.col("line")).alias("key")))
+
+
+def common_lines(docs: DataFrame, likely: DataFrame, text_col: str = "text", site_col: str = "source",
                  min_sites: int = MIN_SITES) -> DataFrame:
-    """(key, sites): lines that at least ``min_sites`` distinct sites carry."""
-    lines = (docs.select(F.col(site_col).cast("string").alias("site"), F.explode(_lines(F.col(text_col))).alias("line"))
-             .filter("site is not null and trim(line) <> ''")
-             .select("site", _key(F.col("line")).alias("key")))
-    sketched = lines.groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LOG_K)).alias("estimate"))
-    likely = sketched.filter(F.col("estimate") >= min_sites * (1 - NEAR))
+    """(key, sites): those of the ``likely`` lines that at least ``min_sites`` distinct sites carry."""
     near = likely.filter(F.col("estimate") <= min_sites * (1 + NEAR)).select("key")
-    exact = (lines.join(near, "key", "left_semi").distinct().groupBy("key")
-             .agg(F.count(F.lit(1)).alias("sites")).filter(F.col("sites") >= min_sites))
+    exact = (_sites(docs, text_col, site_col).filter("site is not null").join(near, "key", "left_semi").distinct()
+             .groupBy("key").agg(F.count(F.lit(1)).alias("sites")).filter(F.col("sites") >= min_sites))
     far = likely.filter(F.col("estimate") > min_sites * (1 + NEAR))
     return far.select("key", F.col("estimate").alias("sites")).unionByName(exact)
 
@@ -58,10 +69,12 @@ def remove_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         site_col: str = "source", min_sites: int = MIN_SITES,
                         max_share: float = MAX_SHARE) -> DataFrame:
     """The columns of ``docs``, ``text`` without common lines, then ``n_lines`` and ``n_removed``."""
-    common = common_lines(docs, text_col, site_col, min_sites).select("key")
+    likely = likely_lines(docs, text_col, site_col, min_sites)
+    common = common_lines(docs, likely, text_col, site_col, min_sites).select("key")
     carried = (docs.select(F.col(id_col).alias("__id"), F.explode(_lines(F.col(text_col))).alias("line"))
                .filter("trim(line) <> ''").select("__id", _key(F.col("line")).alias("key")))
-    by_doc = (carried.join(common, "key").groupBy("__id")
+    # One line may be a third of all lines.
+    by_doc = (spread_join(carried, common, hot_keys(likely, ["key"], "n"), ["key"], F.col("__id")).groupBy("__id")
               .agg(F.collect_set("key").alias("__common")))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     joined = docs.select(*columns).join(by_doc, F.col(id_col).eqNullSafe(F.col("__id")), "left")

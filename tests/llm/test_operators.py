@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerflow.llm import (ann, decontaminate, fmindex, htmltext, langid, licenses, linededup, neardup, oracle, packing,
-                            pii, queries, substring)
+from ledgerflow.llm import (ann, common, decontaminate, fmindex, htmltext, langid, licenses, linededup, neardup, oracle,
+                            packing, pii, queries, substring)
 from ledgerflow.llm.common import gram_hashes, read_table, sliding_min
 
 SF = "/root/testdata/sf0.001"
@@ -259,6 +259,19 @@ def test_license_edges_and_inheritance(spark):
     assert licenses.scan_licenses(files.limit(0)).count() == 0
 
 
+def test_spread_join_equals_a_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else i % 3 if i % 2 else 0) for i in range(200)],
+                                 "id long, k long")
+    table = spark.createDataFrame([(0, "a"), (1, "b"), (9, "z")], "k long, v string")
+    hot = common.hot_keys(rows.filter("k is not null").groupBy("k").agg(F.count("*").alias("n")), ["k"], "n")
+    assert hot.agg(F.max("parts")).first()[0] > 5
+    for how in ("inner", "left"):
+        got = common.spread_join(rows, table, hot, ["k"], F.col("id"), how).select("id", "k", "v")
+        want = rows.join(table, "k", how).select("id", "k", "v")
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_line_dedup_counts_sites_and_keeps_copies(spark):
     rows = [f"own line {i}\nthe footer \nsecond own line {i}" for i in range(12)] + ["the footer"] + EDGES
     sources = [f"s{i}" for i in range(12)] + ["s0"] + [None] * len(EDGES)
