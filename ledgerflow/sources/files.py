@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow import schemas as S
 
@@ -11,13 +12,21 @@ CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    # Declared schema, header row, and FAILFAST: a malformed number raises
-    # instead of silently becoming null.
-    return (spark.read.schema(schema)
+    # Declared types bound to the header's names, whatever their order, and FAILFAST: a
+    # malformed number raises instead of silently becoming null, a missing column too.
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [n for n in schema.fieldNames() if n not in header]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    declared = T.StructType([schema[n] if n in schema.fieldNames() else T.StructField(n, T.StringType())
+                             for n in header])
+    # enforceSchema off: a file of the folder with another header raises.
+    return (spark.read.schema(declared)
             .option("header", True)
+            .option("enforceSchema", False)
             .option("mode", "FAILFAST")
             .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
-            .csv(path))
+            .csv(path).select(*schema.fieldNames()))
 
 
 def read_rides(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

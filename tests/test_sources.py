@@ -39,6 +39,20 @@ def test_csv_failfast_on_bad_number(spark, workdir):
         files.read_rides(spark, bad).collect()
 
 
+def test_csv_columns_follow_the_header(spark, workdir):
+    path = os.path.join(workdir, "reordered.csv")
+    with open(path, "w") as f:
+        f.write("country,note,line_type,account_code\nEstonia,x,receivable,1200\n")
+    got = files.read_account_mapping(spark, path)
+    assert got.columns == S.ACCOUNT_MAPPING.fieldNames()
+    assert got.first().asDict() == {"line_type": "receivable", "country": "Estonia", "account_code": "1200"}
+    short = os.path.join(workdir, "short.csv")
+    with open(short, "w") as f:
+        f.write("country,line_type\nEstonia,receivable\n")
+    with pytest.raises(ValueError, match="account_code"):
+        files.read_account_mapping(spark, short)
+
+
 def test_reference_seed_tables(spark):
     assert files.reference_account_mapping(spark).count() == 12
     assert files.reference_chart_of_accounts(spark).count() == 9
