@@ -11,9 +11,6 @@ from ledgerflow import functions as LF
 from ledgerflow import schemas as S
 from ledgerflow.operators.posting import bounded_broadcast
 
-# Largest zone table joined by broadcast with a range condition.
-MAX_BROADCAST_ZONES = 10_000
-
 
 def price_rides(rides: DataFrame, vat_rates: DataFrame) -> DataFrame:
     """Price every ride from its duration with the tariff, VAT by country.
@@ -44,25 +41,32 @@ def order_uuid(rides: DataFrame) -> DataFrame:
                         LF.md5_uuid(payload).alias("order_uuid"))
 
 
-def range_lookup(df: DataFrame, id_col: str, zones: DataFrame, bucket_width: int = 1024) -> DataFrame:
-    """Left join of ids onto ``[lo, hi]`` zones (non-overlapping ranges).
+def range_lookup(df: DataFrame, id_col: str, zones: DataFrame) -> DataFrame:
+    """Left join of ids onto ``[lo, hi]`` zones (non-overlapping ranges; others never match).
 
-    A zone table of checked small size is broadcast and matched with the range
-    predicate. A larger one is joined on id buckets: each zone is exploded
-    into the buckets it spans, the ids are equi-joined on their bucket and the
-    range predicate is applied after, so no pair outside a bucket is formed.
+    Zones are grouped by the number of bits of their width. A zone of k bits
+    spans at most two buckets of 2^k ids, so every group is an equi-join on the
+    id's bucket with the range as a residual, whatever the widths: no nested
+    loop and at most two rows a zone. There are at most 64 groups (few in
+    practice), found by a distinct over the zone table.
     """
-    n = zones.limit(MAX_BROADCAST_ZONES + 1).count()
-    idc = F.col(id_col)
-    if n <= MAX_BROADCAST_ZONES:
-        z = F.broadcast(zones)
-        return df.join(z, (idc >= z["lo"]) & (idc <= z["hi"]), "left").drop("lo", "hi")
-    zb = zones.withColumn("_bucket", F.explode(F.sequence(
-        F.floor(F.col("lo") / bucket_width), F.floor(F.col("hi") / bucket_width))))
-    keyed = df.withColumn("_bucket", F.floor(idc / bucket_width))
-    return (keyed.join(zb, (keyed["_bucket"] == zb["_bucket"]) & (idc >= zb["lo"]) & (idc <= zb["hi"]),
-                       "left")
-            .drop("_bucket", "lo", "hi"))
+    idc = F.col(id_col).cast("bigint")
+    carried = [c for c in zones.columns if c not in ("lo", "hi")]
+    sized = zones.where(F.col("hi") >= F.col("lo")).withColumn(
+        "_bits", F.length(F.bin(F.col("hi").cast("bigint") - F.col("lo").cast("bigint"))))
+    groups = sorted(r[0] for r in sized.select("_bits").distinct().collect())
+    out = df
+    for k in groups:
+        lo, hi = F.col("lo").cast("bigint"), F.col("hi").cast("bigint")
+        ends = F.array_distinct(F.array(F.shiftright(lo, k), F.shiftright(hi, k)))
+        z = sized.where(F.col("_bits") == k).select(
+            F.explode(ends).alias(f"_bucket{k}"), lo.alias(f"_lo{k}"), hi.alias(f"_hi{k}"),
+            *[F.col(c).alias(f"_{c}{k}") for c in carried])
+        out = out.join(z, (F.shiftright(idc, k) == F.col(f"_bucket{k}"))
+                       & (idc >= F.col(f"_lo{k}")) & (idc <= F.col(f"_hi{k}")), "left")
+    found = [F.coalesce(*[F.col(f"_{c}{k}") for k in groups], F.lit(None).cast(zones.schema[c].dataType)).alias(c)
+             for c in carried]
+    return out.select(*[F.col(c) for c in df.columns], *found)
 
 
 def city_of_vehicle(rides: DataFrame, zones: DataFrame) -> DataFrame:

@@ -1,19 +1,22 @@
 """Staging: guardrails, order dedup, and the quarantine of rejected rows.
 
 Guardrails run as a cascade and the first failing one names the rejection:
-null money, then outlier amount, then duplicate order. Both outputs come from
-one classification column, so the source is scanned once per output.
+null money, then outlier amount, then duplicate order. Both outputs use the
+same classification.
 
 Scale notes
 -----------
-* Only orders with several clean rows need ranking. Order sizes come from a
-  narrow aggregate on the order key (map-side combine), and rows are routed by
-  null-safe semi/anti joins that AQE broadcasts while the multi-row key set is
-  small, so single-row orders are never shuffled.
-* Multi-row orders keep their first row with ``row_number() == 1``. Catalyst
-  plans that as a WindowGroupLimit: a partial top-1 per order runs before the
-  exchange, so even an order id that holds a third of all rows (or the null
-  order id) ships at most one row per map task.
+* Staging keeps the first row of every order with ``row_number() == 1`` in one
+  scan and one exchange. Catalyst plans that as a WindowGroupLimit: a partial
+  top-1 per order runs before the exchange, so even an order id that holds a
+  third of all rows (or the null order id) ships at most one row per map task.
+* A row on or after the period's end never precedes a row inside the period,
+  so a period run reads the source up to the period's end only; the bound
+  reaches the Parquet scan.
+* The quarantine needs only orders with several clean rows. Order sizes come
+  from a narrow aggregate on the order key (map-side combine), and rows are
+  picked by a null-safe semi join that AQE broadcasts while that key set is
+  small, so the bulk of the rows is never shuffled.
 * Duplicates are "every clean row except the winner of its order". They are
   found as a multiset difference keyed by the whole row (counts of +1 for each
   clean row, -1 for each winner), which is a hash aggregate with map-side
@@ -101,40 +104,30 @@ def first_per_order(clean: DataFrame, scope: str = "source") -> DataFrame:
             .drop("_dedup_rn"))
 
 
-def split_by_order_size(clean: DataFrame, scope: str = "source") -> tuple[DataFrame, DataFrame]:
-    """Clean rows of orders with exactly one clean row, and of orders with several.
+def rows_of_repeated_orders(clean: DataFrame, scope: str = "source") -> DataFrame:
+    """Clean rows of orders with several clean rows: only these can hold duplicates.
 
-    Only the second part can hold duplicates or needs ranking. Order sizes are
-    a narrow aggregate on the order key (map-side combine, so a hot order
-    collapses before the shuffle); rows are then routed by null-safe semi and
-    anti joins against the multi-row keys, which AQE broadcasts when that key
-    set is small (duplicates are rare), so single-row orders never shuffle.
+    Order sizes are a narrow aggregate on the order key (map-side combine, so
+    a hot order collapses before the shuffle); rows are then picked by a
+    null-safe semi join, which AQE broadcasts when the key set is small.
     """
     keyed = clean.withColumn("_k0", F.col("order_id"))
     keys = ["_k0"]
     if scope == "month":
         keyed = keyed.withColumn("_k1", F.trunc(F.to_date("start_time"), "month"))
         keys.append("_k1")
-    multi = (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-             .select(*[F.col(k).alias(f"_m{k}") for k in keys]))
+    repeated = (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                .select(*[F.col(k).alias(f"_m{k}") for k in keys]))
     cond = None
     for k in keys:
-        c = keyed[k].eqNullSafe(multi[f"_m{k}"])
+        c = keyed[k].eqNullSafe(repeated[f"_m{k}"])
         cond = c if cond is None else cond & c
-    single = keyed.join(multi, cond, "left_anti").drop(*keys)
-    several = keyed.join(multi, cond, "left_semi").drop(*keys)
-    return single, several
-
-
-def winners_per_order(clean: DataFrame, scope: str = "source") -> DataFrame:
-    """First row of every order: single-row orders as they are, the others ranked."""
-    single, several = split_by_order_size(clean, scope)
-    return single.unionByName(first_per_order(several, scope))
+    return keyed.join(repeated, cond, "left_semi").drop(*keys)
 
 
 def dedup_orders(rides: DataFrame, threshold: Decimal = S.OUTLIER_THRESHOLD) -> DataFrame:
     """Clean rows of the whole source with one row per order id."""
-    return winners_per_order(guard_outlier(guard_not_null(rides), threshold))
+    return first_per_order(guard_outlier(guard_not_null(rides), threshold))
 
 
 def staged_projection(df: DataFrame) -> DataFrame:
@@ -160,38 +153,41 @@ def _check_scope(scope: str) -> None:
         raise ValueError(f"dedup_scope must be one of {DEDUP_SCOPES}, got {scope!r}")
 
 
+def before_end(period: Period) -> Column:
+    """Rows that can decide what a run over the period stages: all that start before its end.
+
+    Rows of an order are ranked by start time with nulls last, so a later row
+    or one without a start never precedes a row inside the period.
+    """
+    return F.col("start_time") < ts_literal(period.end_exclusive)
+
+
 def orders_touching(rides: DataFrame, period: Period) -> DataFrame:
-    """Every source row (any period) of an order that has a row in the period.
+    """Source rows up to the period's end of every order that has a row in the period.
 
     A semi join on ``order_id`` with null-safe equality, so the null order id
-    is one order as in the window. Used by short (monthly) runs: the
+    is one order as in the window. Used by stored (monthly) runs: the
     whole-source dedup then shuffles only the orders the period can keep.
     """
     # distinct first: a hot order id collapses map-side before the shuffle
     keys = (rides.where(in_period_by_start(period))
             .select(F.col("order_id").alias("_oid")).distinct())
-    return rides.join(keys, rides["order_id"].eqNullSafe(keys["_oid"]), "left_semi")
+    return rides.where(before_end(period)).join(
+        keys, rides["order_id"].eqNullSafe(keys["_oid"]), "left_semi")
 
 
 def stage_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OUTLIER_THRESHOLD,
-                dedup_scope: str = "source", prune_orders: bool = False) -> DataFrame:
+                dedup_scope: str = "source") -> DataFrame:
     """Clean, typed, deduplicated rides of the period.
 
     ``dedup_scope="source"`` (the reference's staging) deduplicates the whole
     source and then keeps the period, so a later copy in another period is
     dropped here; ``"period"`` restricts to the period first.
-    ``prune_orders`` gives the same rows for a source-scoped dedup while
-    shuffling only orders that occur in the period (worth it when the period
-    is a small part of the source).
     """
     _check_scope(dedup_scope)
-    if dedup_scope == "period":
-        src = rides.where(in_period_by_start(period))
-    elif prune_orders and dedup_scope == "source":
-        src = orders_touching(rides, period)
-    else:
-        src = rides
-    winners = winners_per_order(guard_outlier(guard_not_null(src), threshold), dedup_scope)
+    reach = in_period_by_start(period) if dedup_scope == "period" else before_end(period)
+    clean = guard_outlier(guard_not_null(rides.where(reach)), threshold)
+    winners = first_per_order(clean, dedup_scope)
     if dedup_scope != "period":
         winners = winners.where(in_period_by_start(period))
     return staged_projection(winners)
@@ -207,7 +203,7 @@ def _counted_rejects(rides: DataFrame, threshold: Decimal, scope: str) -> DataFr
     # Duplicates exist only in orders with several clean rows: every such row
     # counts +1 and every winner -1, aggregated by whole row, so what is left
     # of a row are its duplicate copies (exact copies collapse map-side).
-    _, several = split_by_order_size(clean, scope)
+    several = rows_of_repeated_orders(clean, scope)
     winners = first_per_order(several, scope)
     dups = (several.withColumn("_n", F.lit(1))
             .unionByName(winners.withColumn("_n", F.lit(-1)))

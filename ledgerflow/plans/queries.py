@@ -7,6 +7,8 @@ Audit timestamps are left out of query results.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -20,7 +22,8 @@ from ledgerflow.operators import (balances, billing, faults, journal, posting, q
 from ledgerflow.periods import Period, bounds_columns
 from ledgerflow.plans.context import (FULL, MONTH, PREVIEW_ROWS, TRACE_ACCOUNT, TRACE_COUNTRY,
                                       Ledger)
-from ledgerflow.session import keep
+from ledgerflow.plans.pipeline import Warehouse, run_period
+from ledgerflow.session import checkpoint_dir, keep
 from ledgerflow.sources import adapter, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = datetime(2000, 1, 1)
 # Boundary of the "old schema" rows in the added-column example.
 SCHEMA_CHANGE_DATE = date(1998, 1, 1)
+# Part of the month that the stored runs build again.
+MID_MONTH = Period(date(1998, 3, 10), date(1998, 3, 20))
 
 
 def _full(spark, sf_dir) -> Ledger:
@@ -115,9 +120,12 @@ def backfill_months(spark, sf_dir):
     """Statement series a month-by-month backfill leaves behind, built in one pass.
 
     Each month's income statement covers that month; each balance sheet is
-    cumulative up to the month. The per-month table has one row per month,
-    so the running window over it is bounded by the number of months.
+    cumulative up to the month. A month without lines has no income statement
+    (null) and carries the balance sheet on. The per-month table has one row
+    per month, so the running window over it is bounded by the number of months.
     """
+    months = spark.range(1).select(F.explode(F.sequence(
+        F.lit(FULL.start), F.lit(FULL.end), F.expr("INTERVAL 1 MONTH"))).alias("reporting_period"))
     tb = _full(spark, sf_dir).trial_balance
     cat, net = F.col("account_category"), F.col("net_balance")
     monthly = tb.groupBy("reporting_period").agg(
@@ -131,7 +139,7 @@ def backfill_months(spark, sf_dir):
     a = LF.report_money(F.sum("_assets").over(w))
     li = LF.report_money(F.sum("_liabilities").over(w))
     e = LF.report_money(F.sum("_equity").over(w))
-    out = monthly.select(
+    out = months.join(monthly, "reporting_period", "left").select(
         F.col("reporting_period").alias("period_start"),
         F.last_day("reporting_period").alias("period_end"),
         "total_revenue", "total_expenses",
@@ -143,6 +151,21 @@ def backfill_months(spark, sf_dir):
         < F.lit(S.BALANCE_TOLERANCE))
 
 
+def stored_reruns(spark, sf_dir):
+    """Trial balance read back from stored tables: a full build, then one month and part of it again.
+
+    Re-running periods through the stored tables leaves what one build from
+    scratch gives. The tables are written to the shared folder.
+    """
+    books = _full(spark, sf_dir).books
+    shared = checkpoint_dir(spark, fallback=f"{tempfile.gettempdir()}/ledgerflow-{uuid.uuid4().hex}")
+    wh = Warehouse(spark, f"{shared}/stored-{uuid.uuid4().hex}", shared)
+    run_period(spark, books, FULL, wh, RUN_TS, gate="off", full_refresh=True)
+    for again in (MONTH, MID_MONTH):
+        run_period(spark, books, again, wh, RUN_TS, gate="off")
+    return wh.read("fct_trial_balance")
+
+
 # -- projections and filters ---------------------------------------------------
 
 def guard_not_null(spark, sf_dir):
@@ -263,6 +286,10 @@ def direct_income_statement(spark, sf_dir):
     return reconcile.direct_income_statement(lg.rides, lg.books.rules, lg.books.accounts)
 
 
+def direct_income_totals(spark, sf_dir):
+    return reconcile.direct_totals(direct_income_statement(spark, sf_dir))
+
+
 def pnl_reconciliation(spark, sf_dir):
     lg = _full(spark, sf_dir)
     direct = reconcile.direct_income_statement(lg.rides, lg.books.rules, lg.books.accounts)
@@ -452,6 +479,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     quarantine_summary, staging_reconciliation, trial_balance, trial_balance_month,
     trial_balance_check, income_statement_detail, income_statement_summary, balance_sheet_detail,
     balance_sheet_summary, statement_lines_ordered, preview_rides, direct_income_statement,
+    direct_income_totals, stored_reruns,
     pnl_reconciliation, mapping_completeness, range_lookup_city, price_rides, order_uuid,
     rides_per_day_check, rides_per_country, billing_validation, dq_report, dq_not_null, dq_unique,
     dq_accepted_values, dq_relationships, dq_journal_balance, dq_gl_balance,

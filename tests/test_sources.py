@@ -79,10 +79,24 @@ def test_pricing_tariff(spark):
     assert got["p"].list_sum_with_vat_amount == D("6.42") and got["p"].coupon_eligible
 
 
-def test_range_lookup_bucketed_path(spark, monkeypatch):
-    monkeypatch.setattr(billing, "MAX_BROADCAST_ZONES", 1)
-    ids = spark.createDataFrame([(5,), (45,), (95,)], "scooter_id int")
-    zones = spark.createDataFrame(list(S.REFERENCE_CITY_RANGES),
-                                  "lo int, hi int, zone_city string, zone_country string")
-    got = {r.scooter_id: r.zone_city for r in billing.range_lookup(ids, "scooter_id", zones, 16).collect()}
-    assert got == {5: "Tallinn", 45: "Helsinki", 95: None}
+def test_range_lookup_of_zones_of_any_width(spark):
+    ids = spark.createDataFrame([(5,), (45,), (95,), (None,), (5000,), (10**12 + 7,), (3,)], "scooter_id long")
+    zones = spark.createDataFrame(
+        [(r[0], r[1], r[2]) for r in S.REFERENCE_CITY_RANGES]
+        + [(1000, 10**11, "wide"), (10**12 + 7, 10**12 + 7, "single"), (99, 98, "empty"), (None, 9, "open")],
+        "lo long, hi long, zone_city string")
+    got = {r.scooter_id: r.zone_city for r in billing.range_lookup(ids, "scooter_id", zones).collect()}
+    assert got == {5: "Tallinn", 3: "Tallinn", 45: "Helsinki", 95: None, None: None, 5000: "wide",
+                   10**12 + 7: "single"}
+    none = billing.range_lookup(ids, "scooter_id", zones.limit(0)).collect()
+    assert len(none) == 7 and all(r.zone_city is None for r in none)
+
+
+def test_bulk_load_replaces_the_whole_table(spark, workdir):
+    path = f"{workdir}/loaded"
+    files.bulk_load(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path)
+    fresh = spark.createDataFrame([(4, "x"), (3, "x"), (5, "y")], "k int, v string").coalesce(1)
+    files.bulk_load(fresh, path, partition_by=["v"], sort_within=["v", "k"])
+    rows = [tuple(r) for r in spark.read.parquet(path).select("k", "v").collect()]
+    assert sorted(rows) == [(3, "x"), (4, "x"), (5, "y")]
+    assert [k for k, v in rows if v == "x"] == [3, 4]
