@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.common import stash
+
 MIN_COSINE = 0.6
 MARKER = r"(?i)licen[sc]e|copyright|rights reserved|permission is hereby|redistribution and use|spdx"
 TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -83,9 +85,11 @@ def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "tex
     directory whose licence file it follows.
     """
     spark = files.sparkSession
-    rows = files.select(F.col(id_col).alias("doc_id"), F.col(path_col).alias("path"),
-                        F.when(F.col(text_col).rlike(MARKER), _header_lines(F.col(text_col))).alias("headers"),
-                        F.monotonically_increasing_id().alias("row"))
+    # Written once without the texts: what follows reads it several times, the texts are read once.
+    rows = stash(files.select(
+        F.col(id_col).alias("doc_id"), F.col(path_col).alias("path"),
+        F.when(F.col(text_col).rlike(MARKER), _header_lines(F.col(text_col))).alias("headers"),
+        F.monotonically_increasing_id().alias("row")), "license-headers")
     headers = rows.select("row", F.explode("headers").alias("line"))
     scores = header_scores(headers.select("line").distinct(), spark)
     own = headers.join(scores, "line").groupBy("row").agg(
