@@ -2,18 +2,21 @@
 
 Words become template tokens: numbers, units and names turn into typed
 placeholders, the rest is lower-cased without outer punctuation. Windows of
-template tokens are hash-joined with those of the benchmark. A document holds a
-benchmark item if windows of one alignment cover enough of it and the slots are
-consistent: each value of the item stands for one value of the document and
-the other way round, so re-parameterised questions are caught and chance
-matches of placeholders are not.
+template tokens are hash-joined with those of the benchmark; a joined window is a
+seed. Around the seeds, the equal runs of document and item are chained in order, a few
+words of drift apart, so that words put in, left out or changed do not hide a copy. A
+document holds a benchmark item if such a chain has enough of its tokens, or one unbroken
+run of ``RUN_TOKENS``, and the slots of the chain are consistent: each value of the item
+stands for one value of the document and the other way round, so re-parameterised
+questions are caught and chance matches of placeholders are not. ``coverage`` is the
+share of the item's tokens in the chain.
 
 A bitmap of the benchmark's window hashes (at most ``FILTER_BITS`` bits, however large the
 benchmark) keeps hopeless windows out of the join; the join itself decides.
 
-Defined cases: null or empty texts have no windows; items shorter than the window are matched
-whole if they have at least ``MIN_TOKENS`` tokens, shorter ones name no passage and are left
-out; a repeated document row gives one result per id; a null id is an id like any other; extra
+Defined cases: null or empty texts have no windows; the windows of items of fewer than 16 tokens
+are half as long as the item, so that one break leaves a whole one, and at least ``MIN_TOKENS``;
+items under ``MIN_TOKENS`` tokens name no passage and are left out; a repeated document row gives one result per id; a null id is an id like any other; extra
 columns are kept out.
 """
 
@@ -29,12 +32,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import gram_hashes, mixed, worker_state
+from ledgerflow.llm.common import gram_hashes, mixed, stash, worker_state
 
 WINDOW = 8
 MIN_TOKENS = 4
 MIN_COVERAGE = 0.6
+# Short items need so many tokens, or all they have.
+MIN_HELD = 6
+# So many tokens of an item in one unbroken run are a leak, whatever share of it they are; as many of
+# them as a window has must be plain.
+RUN_TOKENS = 13
+# Two runs of a chain may be so many words out of step; more drift is reached step by step.
+DRIFT = 8
+# Shorter runs of equal tokens are chance.
+MIN_RUN = 3
 FILTER_BITS = 1 << 22
+# A window passes if the bits at both of these shifts of its hash are set.
+PROBES = (0, 32)
 # Windows of nothing but placeholders say nothing; a window needs so many plain tokens.
 MIN_PLAIN = 3
 
@@ -119,82 +133,218 @@ def windows(doc: np.ndarray, token: np.ndarray, kind: np.ndarray, size: int) ->
     return at, h[at]
 
 
-_SCHEMA = "id long, at int, size int, hash long, n_tokens int, slots array<string>"
+def seed_size(n_tokens: np.ndarray, window: int) -> np.ndarray:
+    """Window size of an item: with one word put in, left out or changed, one side still holds a window."""
+    return np.minimum(window, np.maximum(MIN_TOKENS, n_tokens // 2))
 
 
-def _emit(ids, texts, sizes: list[int], whole_item: bool, passes) -> Iterator[pa.RecordBatch]:
-    vocabulary = worker_state("template_vocabulary", Vocabulary)
-    doc, token, kind, word = templates(texts, vocabulary)
-    begin = np.searchsorted(doc, np.arange(len(texts)))
-    length = np.bincount(doc, minlength=len(texts))
-    for size in sizes:
-        at, h = windows(doc, token, kind, size)
-        if whole_item:  # an item's windows are of the full size, or the item as a whole
-            at_ok = (length[doc[at]] == size) if size < max(sizes) else np.ones(len(at), bool)
-            at, h = at[at_ok], h[at_ok]
-        if passes is not None:
-            ok = passes(h)
-            at, h = at[ok], h[ok]
-        if not len(at):
-            continue
-        d = doc[at]
-        slots = [[vocabulary.values[word[k]] for k in range(a, a + size) if kind[k]] for a in at]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([ids[i] for i in d], pa.int64()), pa.array((at - begin[d]).astype(np.int32)),
-             pa.array(np.full(len(at), size, np.int32)), pa.array(h.view(np.int64)),
-             pa.array(length[d].astype(np.int32)), pa.array(slots, pa.list_(pa.string()))],
-            ["id", "at", "size", "hash", "n_tokens", "slots"])
-
-
-def template_windows(rows: DataFrame, id_col: str, text_col: str, sizes: list[int], whole_item: bool = False,
-                     bitmap: np.ndarray | None = None, docs_a_step: int = 256) -> DataFrame:
-    """(id, at, size, hash, n_tokens, slots): the template windows of whole texts."""
+def _slices(texts, docs_a_step: int = 256):
+    """(texts, document number, token hash, kind, value, first token, tokens) of some texts at a time."""
+    for k in range(0, len(texts), docs_a_step):
+        part = texts[k:k + docs_a_step]
+        vocabulary = worker_state("template_vocabulary", Vocabulary)
+        doc, token, kind, word = templates(part, vocabulary)
+        yield (k, doc, token, kind, lambda at: [vocabulary.values[i] for i in word[at]],
+               np.searchsorted(doc, np.arange(len(part))), np.bincount(doc, minlength=len(part)))
+
+
+def item_windows(rows: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """(id, at, size, hash): the template windows of benchmark items, all of one item of one size."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = None if bitmap is None else (
-            lambda h: bitmap[(h & np.uint64(len(bitmap) - 1)).astype(np.int64)])
         for batch in batches:
-            for k in range(0, batch.num_rows, docs_a_step):
-                part = batch.slice(k, docs_a_step)
-                yield from _emit(part.column(0).to_pylist(), part.column(1).to_pylist(), sizes, whole_item, passes)
+            ids = batch.column(0).to_pylist()
+            for k, doc, token, kind, _, begin, length in _slices(batch.column(1).to_pylist()):
+                wanted = seed_size(length, window)
+                for size in np.unique(wanted):
+                    at, h = windows(doc, token, kind, int(size))
+                    ok = wanted[doc[at]] == size
+                    at, h = at[ok], h[ok]
+                    d = doc[at]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([ids[k + i] for i in d], pa.int64()), pa.array((at - begin[d]).astype(np.int32)),
+                         pa.array(np.full(len(at), size, np.int32)), pa.array(h.view(np.int64)),
+                         pa.array(length[d].astype(np.int32))], ["id", "at", "size", "hash", "n_tokens"])
 
     return (rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .filter("text is not null").mapInArrow(scan, _SCHEMA))
+            .filter("text is not null").mapInArrow(scan, "id long, at int, size int, hash long, n_tokens int"))
+
+
+def filter_bits(h: np.ndarray) -> list[np.ndarray]:
+    return [((h.view(np.int64) >> k) & (FILTER_BITS - 1)) for k in PROBES]
+
+
+_SEED = pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32()), ("hash", pa.int64())]))
+
+
+def regions(docs: DataFrame, id_col: str, text_col: str, sizes: list[int], bitmap: np.ndarray, reach: int) -> DataFrame:
+    """(doc_id, tokens, kinds, values, seeds): the parts of whole texts around windows that the bitmap passes.
+
+    A part reaches ``reach`` tokens to both sides of its windows; windows nearer than that share one.
+    """
+    names = ["doc_id", "tokens", "kinds", "values", "seeds"]
+
+    def cut(ids, texts) -> Iterator[pa.RecordBatch]:
+        for k, doc, token, kind, values, begin, length in _slices(texts):
+            hits = []
+            for size in sizes:
+                at, h = windows(doc, token, kind, size)
+                ok = np.logical_and.reduce([bitmap[b] for b in filter_bits(h)])
+                hits.append((at[ok], np.full(int(ok.sum()), size), h[ok].view(np.int64)))
+            at, size, h = (np.concatenate(c) for c in zip(*hits))
+            if not len(at):
+                continue
+            order = np.argsort(at, kind="stable")
+            at, size, h = at[order], size[order], h[order]
+            apart = (np.diff(at) > 2 * reach) | (np.diff(doc[at]) != 0)
+            first = np.flatnonzero(np.concatenate(([True], apart)))
+            for a, b in zip(first, np.append(first[1:], len(at))):
+                d = doc[at[a]]
+                lo = max(begin[d], at[a] - reach)
+                hi = min(begin[d] + length[d], at[b - 1] + size[a:b].max() + reach)
+                seeds = [{"at": int(x - lo), "size": int(n), "hash": int(y)} for x, n, y in zip(at[a:b], size[a:b], h[a:b])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[k + d]], pa.int64()), pa.array([token[lo:hi].view(np.int64)], pa.list_(pa.int64())),
+                     pa.array([kind[lo:hi].astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([values(slice(lo, hi))], pa.list_(pa.string())), pa.array([seeds], _SEED)], names)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from cut(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+
+    return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+            .filter("text is not null").mapInArrow(
+                scan, "doc_id long, tokens array<long>, kinds array<int>, values array<string>,"
+                      " seeds array<struct<at:int,size:int,hash:long>>"))
+
+
+class Text:
+    """Template tokens, kinds and values of an item or of a part of a document."""
+
+    def __init__(self, tokens, kinds, values):
+        self.tokens, self.kinds, self.values = tokens, kinds, values
+        self.slots = np.flatnonzero(kinds != PLAIN)
+
+
+def paired(theirs: dict, ours: dict, pairs) -> bool:
+    """Adds (item value, document value) pairs to a mapping; false if one contradicts it."""
+    return all(theirs.setdefault(t, o) == o and ours.setdefault(o, t) == t for t, o in pairs)
+
+
+def slot_pairs(item: Text, part: Text, i: int, shift: int, n: int) -> set:
+    a, b = np.searchsorted(item.slots, [i, i + n])
+    return {(item.values[k], part.values[k + shift]) for k in item.slots[a:b]}
+
+
+def equal_runs(item: Text, part: Text, low: int, high: int) -> list[tuple[int, int, int]]:
+    """(place in the item, shift, length) of the runs of at least MIN_RUN equal tokens at some shifts."""
+    n, m = len(item.tokens), len(part.tokens)
+    found = []
+    for shift in range(low, high + 1):
+        a, b = max(0, -shift), min(n, m - shift)
+        if b - a < MIN_RUN:
+            continue
+        same = np.concatenate(([0], item.tokens[a:b] == part.tokens[a + shift:b + shift], [0]))
+        edge = np.flatnonzero(np.diff(same))
+        found += [(int(a + x), shift, int(y - x)) for x, y in zip(edge[::2], edge[1::2]) if y - x >= MIN_RUN]
+    return sorted(found, key=lambda r: (r[0] + r[1], r[0]))
+
+
+def chains(item: Text, part: Text, runs: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, set]]:
+    """(tokens, longest run with enough plain tokens, slot pairs) of the best consistent chain to each run."""
+    plain = np.concatenate(([0], np.cumsum(item.kinds == PLAIN)))
+    done = []
+    for i, shift, n in runs:
+        own = slot_pairs(item, part, i, shift, n)
+        if not paired({}, {}, own):
+            continue
+        long = n if plain[i + n] - plain[i] >= WINDOW else 0
+        best = (n, long, own)
+        for j, other, size, (total, longest, pairs) in done:
+            # Runs may overlap by words that are equal on both sides of a break: they count once.
+            over = max(0, j + size - i, j + size + other - i - shift)
+            if j < i and j + other < i + shift and abs(other - shift) <= DRIFT and over < n \
+                    and total + n - over > best[0] and paired({}, {}, pairs | own):
+                best = (total + n - over, max(longest, long), pairs | own)
+        done.append((i, shift, n, best))
+        yield best
+
+
+def best_chain(item: Text, part: Text, seeds: list[tuple[int, int, int]], min_coverage: float):
+    """(coverage, unchanged, slots) of an item in a part of a document, or None; seeds are (at, item_at, size)."""
+    n = len(item.tokens)
+    found = []
+
+    def judge(total, longest, pairs):
+        if total >= max(min_coverage * n, min(n, MIN_HELD)) or longest >= RUN_TOKENS:
+            found.append((round(total / n, 6), all(t == o for t, o in pairs), len(pairs)))
+
+    by_shift: dict[int, list] = {}
+    for at, item_at, size in seeds:
+        by_shift.setdefault(at - item_at, []).append((item_at, size))
+    for shift, places in by_shift.items():
+        held = np.zeros(n, bool)
+        for a, size in places:
+            held[a:a + size] = True
+        pairs = {(item.values[k], part.values[k + shift]) for k in item.slots if held[k]}
+        if paired({}, {}, pairs):
+            judge(int(held.sum()), 0, pairs)
+    if max(found, default=(0,))[:2] == (1.0, True):
+        return max(found)
+    last = None
+    for shift in sorted(by_shift):
+        if last is None or shift > last + DRIFT:  # the shifts around a seed; the next seeds are among them
+            last = shift
+            for chain_ in chains(item, part, equal_runs(item, part, shift - 2 * DRIFT, shift + 3 * DRIFT)):
+                judge(*chain_)
+    return max(found, default=None)
+
+
+def _aligned(min_coverage: float):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                part = Text(np.array(row["tokens"], np.int64), np.array(row["kinds"]), row["values"])
+                out = []
+                for entry in row["items"]:
+                    _, _, token, kind, values, _, _ = next(_slices([entry["text"]]))
+                    item = Text(token.view(np.int64), kind, values(slice(None)))
+                    best = best_chain(item, part, [(s["at"], s["item_at"], s["size"]) for s in entry["seeds"]], min_coverage)
+                    if best:
+                        out.append((row["doc_id"], entry["item_id"], *best))
+                if out:
+                    d, i, c, same, n = zip(*out)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(c, pa.float64()),
+                         pa.array(same, pa.bool_()), pa.array(n, pa.int64())],
+                        ["doc_id", "item_id", "coverage", "same", "n_slots"])
+    return scan
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """(doc_id, item_id, coverage, n_slots, reparameterised): documents that hold a benchmark item."""
-    sizes = list(range(MIN_TOKENS, window + 1))
-    items = template_windows(benchmark, item_col, item_text_col, sizes, whole_item=True)
-    item_sizes = items.groupBy("id").agg(F.count(F.lit(1)).alias("n_windows"))
-    used = sorted(r["size"] for r in items.select("size").distinct().collect())
-    if not used:
-        used = [window]
+    # Rows that share an item id are read apart.
+    texts = stash(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
+                  .filter("text is not null").withColumn("item_row", F.monotonically_increasing_id()), "benchmark-items")
+    items = item_windows(texts, "item_row", "text", window)
+    used = items.groupBy("size").agg(F.max("n_tokens").alias("longest")).collect()
+    sizes = sorted(r["size"] for r in used) or [window]
+    reach = max((r["longest"] for r in used), default=0) + 3 * DRIFT
     # Bounded by the number of bits, not by the benchmark.
-    bits = items.select(F.pmod(F.col("hash"), F.lit(FILTER_BITS)).alias("bit")).distinct().collect()
+    places = F.array(*[F.pmod(F.shiftright("hash", k), F.lit(FILTER_BITS)) for k in PROBES])
+    bits = items.select(F.explode(places).alias("bit")).distinct().collect()
     bitmap = np.zeros(FILTER_BITS, bool)
     bitmap[[r["bit"] for r in bits]] = True
-    found = template_windows(docs, id_col, text_col, used, bitmap=bitmap)
-    pairs = (found.select(F.col("id").alias("doc_id"), "hash", "size", "at", "slots")
-             .join(items.select(F.col("id").alias("item_id"), "hash", "size", F.col("at").alias("item_at"),
-                                F.col("slots").alias("item_slots")), ["hash", "size"])
-             .withColumn("shift", F.col("at") - F.col("item_at")))
-    # One alignment of a document with an item has at most one row per window of the item.
-    slot_pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(
-        F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")))))
-    aligned = pairs.groupBy("doc_id", "item_id", "shift").agg(
-        F.count_distinct("item_at").alias("matched"), slot_pairs.alias("pairs"))
-    theirs = F.array_distinct(F.transform("pairs", lambda p: p["theirs"]))
-    ours = F.array_distinct(F.transform("pairs", lambda p: p["ours"]))
-    consistent = (F.size("pairs") == F.size(theirs)) & (F.size("pairs") == F.size(ours))
-    changed = F.exists("pairs", lambda p: p["theirs"] != p["ours"])
-    scored = (aligned.filter(consistent).join(item_sizes.withColumnRenamed("id", "item_id"), "item_id")
-              .withColumn("coverage", F.round(F.col("matched") / F.col("n_windows"), 6))
-              .filter(F.col("coverage") >= min_coverage)
-              .select("doc_id", "item_id", "coverage", F.size("pairs").cast("long").alias("n_slots"),
-                      changed.alias("changed")))
-    best = F.max(F.struct("coverage", (~F.col("changed")).alias("same"), "n_slots"))
+    parts = stash(regions(docs, id_col, text_col, sizes, bitmap, reach)
+                  .withColumn("part", F.monotonically_increasing_id()), "leak-parts")
+    seeds = parts.select("part", F.inline("seeds")).join(
+        items.select(F.col("id").alias("item_row"), "hash", "size", F.col("at").alias("item_at")), ["hash", "size"])
+    met = (seeds.groupBy("part", "item_row").agg(F.collect_list(F.struct("at", "item_at", "size")).alias("seeds"))
+           .join(texts, "item_row").groupBy("part").agg(F.collect_list(F.struct("item_id", "text", "seeds")).alias("items")))
+    scored = (parts.drop("seeds").join(met, "part").drop("part").mapInArrow(
+        _aligned(min_coverage), "doc_id long, item_id long, coverage double, same boolean, n_slots long"))
+    best = F.max(F.struct("coverage", "same", "n_slots"))
     return (scored.groupBy("doc_id", "item_id").agg(best.alias("b"))
             .select("doc_id", "item_id", F.col("b.coverage").alias("coverage"), F.col("b.n_slots").alias("n_slots"),
                     (~F.col("b.same")).alias("reparameterised")))

@@ -297,6 +297,26 @@ def test_leaks_plain_reparameterised_and_inconsistent(spark):
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def leaks_of(spark, texts, items):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs_of(spark, texts), bench).collect()}
+
+
+def test_leaks_survive_a_broken_copy(spark):
+    long = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)]
+    items = [long[:15], long, long[:9]]
+    rows = []
+    for n, item in enumerate(items):
+        for k in range(1, len(item)):
+            for broken in (item[:k] + ["odd"] + item[k:], item[:k] + item[k + 1:]):
+                rows.append((n, " ".join(["before", "it"] + broken + ["after"])))
+    rows += [(1, " ".join(long[:20])), (1, " ".join(long[20:]))]
+    got = leaks_of(spark, [t for _, t in rows], [" ".join(x) for x in items])
+    assert {(d, n) for d, (n, _) in enumerate(rows)} <= got
+    assert leaks_of(spark, ["x " + " ".join(long[:8]) + " y", " ".join(long[k] for k in range(0, 40, 2))],
+                    [" ".join(long)]) == set()
+
+
 def test_leaks_hold_every_contained_item(spark, texts):
     items = {r["item_id"]: r["text"] for r in read_table(spark, SF, "benchmark").collect()}
     expected = {(d, i) for d, t in texts.items() for i, b in items.items() if t and b in t}
