@@ -16,7 +16,7 @@ benchmark) keeps hopeless windows out of the join; the join itself decides.
 
 Defined cases: null or empty texts have no windows; the windows of items of fewer than 16 tokens
 are half as long as the item, so that one break leaves a whole one, and at least ``MIN_TOKENS``;
-items under ``MIN_TOKENS`` tokens name no passage and are left out; a repeated document row gives one result per id; a null id is an id like any other; extra
+windows with fewer than ``MIN_PLAIN`` plain tokens must be equal word for word; items under ``MIN_TOKENS`` tokens name no passage and are left out; a repeated document row gives one result per id; a null id is an id like any other; extra
 columns are kept out.
 """
 
@@ -49,7 +49,7 @@ MIN_RUN = 3
 FILTER_BITS = 1 << 22
 # A window passes if the bits at both of these shifts of its hash are set.
 PROBES = (0, 32)
-# Windows of nothing but placeholders say nothing; a window needs so many plain tokens.
+# Templates of nothing but placeholders say nothing; windows with fewer plain tokens are compared by their words.
 MIN_PLAIN = 3
 
 # Words for units.
@@ -61,9 +61,17 @@ UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mile m
 NUMBERS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
     fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred
     thousand million billion""".split())
+# Words that are capitalised for their place only.
+STARTERS = frozenset("""a about after all also although an and any are as at because before both but by can consider
+    could did do does during each either every find for from given had has have he her here his how however i if in
+    is it its let many may most my no not of on once one or our she should show since so some such suppose than that
+    the their then there these they this those though to under until was we were what when where which while who
+    whose why will with would you your""".split())
+# Line breaks as a word of their own: it ends a sentence and has no letters.
+BREAK = "\ue000"
 _EDGE = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$")
 _NUMBER = regex.compile(r"^[\p{Sc}]?\p{N}[\p{N}.,:/]*(?:%|st|nd|rd|th)?$")
-PLAIN, NUM, UNIT, NAME = 0, 1, 2, 3
+PLAIN, NUM, UNIT, NAME, MAYBE = 0, 1, 2, 3, 4
 
 
 class Vocabulary(dict):
@@ -74,6 +82,7 @@ class Vocabulary(dict):
         self.limit = limit
         self.values: list[str] = []
         self.token = np.zeros(1024, np.uint64)
+        self.exact = np.zeros(1024, np.uint64)
         self.kind, self.capital, self.ends = np.zeros(1024, np.int8), np.zeros(1024, bool), np.zeros(1024, bool)
 
     def __missing__(self, word: str) -> int:
@@ -86,13 +95,14 @@ class Vocabulary(dict):
             kind = UNIT
         at = self[word] = len(self.values)
         if at == len(self.token):
-            for name in ("token", "kind", "capital", "ends"):
+            for name in ("token", "exact", "kind", "capital", "ends"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate((old, np.zeros_like(old))))
         self.token[at] = xxhash.xxh64_intdigest(f"<{kind}>" if kind else low) if core else 0
+        self.exact[at] = xxhash.xxh64_intdigest(low, 1)
         self.kind[at] = kind
-        self.capital[at] = kind == PLAIN and core[:1].isupper() and core[1:2].islower()
-        self.ends[at] = word[-1] in ".!?:;" or word[-2:-1] in (".", "!", "?")
+        self.capital[at] = kind == PLAIN and core[:1].isupper() and core[1:2].islower() and low not in STARTERS
+        self.ends[at] = word == BREAK or word[-1] in ".!?:;" or word[-2:-1] in (".", "!", "?")
         self.values.append(low)
         return at
 
@@ -108,8 +118,11 @@ _NAME_HASH = xxhash.xxh64_intdigest("<3>")
 
 
 def templates(texts: list[str | None], vocabulary: Vocabulary):
-    """(document number, token hash, kind, word id) of every template token of some texts."""
-    words = [(t or "").split() for t in texts]
+    """(document number, token hash, kind, word id, may be a name) of every template token of some texts.
+
+    A capitalised word at the start of a text, line or sentence is a plain word that may be a name.
+    """
+    words = [(t or "").replace("\n", f" {BREAK} ").split() for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     doc = np.repeat(np.arange(len(texts)), sizes)
     ids, token, kind, capital, ends = vocabulary.look_up(list(chain.from_iterable(words)))
@@ -119,18 +132,39 @@ def templates(texts: list[str | None], vocabulary: Vocabulary):
     kind = np.where(name, NAME, kind)
     token = np.where(name, np.uint64(_NAME_HASH), token)
     keep = token != 0
-    return doc[keep], token[keep], kind[keep], ids[keep]
+    return doc[keep], token[keep], kind[keep], ids[keep], (capital & initial)[keep]
+
 
+def windows(doc, token, kind, maybe, exact, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first token, hash) of the windows of ``size`` tokens that stay in one document.
 
-def windows(doc: np.ndarray, token: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first token, hash) of the windows of ``size`` tokens that stay in one document."""
+    Windows with a word that may be a name have both readings: all such words plain, or all names.
+    Windows with too few plain tokens are hashed by their lower-cased words.
+    """
     if len(token) < size:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = mixed(gram_hashes(token, size), size)
-    plain = np.concatenate(([0], np.cumsum(kind == PLAIN)))
-    ok = (doc[:len(h)] == doc[size - 1:]) & (plain[size:] - plain[:-size] >= min(MIN_PLAIN, size))
-    at = np.flatnonzero(ok)
-    return at, h[at]
+    inside = doc[:len(doc) - size + 1] == doc[size - 1:]
+    found = []
+    for names in (False, True):
+        k = np.where(maybe, NAME, kind) if names else kind
+        h = mixed(gram_hashes(np.where(maybe, np.uint64(_NAME_HASH), token) if names else token, size), size)
+        plain = np.concatenate(([0], np.cumsum(k == PLAIN)))
+        few = plain[size:] - plain[:-size] < min(MIN_PLAIN, size)
+        ok = inside & ~few
+        if names:
+            some = np.concatenate(([0], np.cumsum(maybe)))
+            ok &= some[size:] > some[:-size]
+        else:
+            at = np.flatnonzero(inside & few)
+            whole = np.full(len(at), np.uint64(size))
+            for step in range(size):
+                whole = mixed(whole ^ exact[at + step], 6)
+            found.append((at, whole))
+        at = np.flatnonzero(ok)
+        found.append((at, h[at]))
+        if not maybe.any():
+            break
+    return np.concatenate([a for a, _ in found]), np.concatenate([h for _, h in found])
 
 
 def seed_size(n_tokens: np.ndarray, window: int) -> np.ndarray:
@@ -139,12 +173,12 @@ def seed_size(n_tokens: np.ndarray, window: int) -> np.ndarray:
 
 
 def _slices(texts, docs_a_step: int = 256):
-    """(texts, document number, token hash, kind, value, first token, tokens) of some texts at a time."""
+    """(texts, document number, token, kind, may be a name, exact hash, values, first token, tokens), some texts at a time."""
     for k in range(0, len(texts), docs_a_step):
         part = texts[k:k + docs_a_step]
         vocabulary = worker_state("template_vocabulary", Vocabulary)
-        doc, token, kind, word = templates(part, vocabulary)
-        yield (k, doc, token, kind, lambda at: [vocabulary.values[i] for i in word[at]],
+        doc, token, kind, word, maybe = templates(part, vocabulary)
+        yield (k, doc, token, kind, maybe, vocabulary.exact[word], lambda at: [vocabulary.values[i] for i in word[at]],
                np.searchsorted(doc, np.arange(len(part))), np.bincount(doc, minlength=len(part)))
 
 
@@ -153,10 +187,10 @@ def item_windows(rows: DataFrame, id_col: str, text_col: str, window: int) -> Da
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for k, doc, token, kind, _, begin, length in _slices(batch.column(1).to_pylist()):
+            for k, doc, token, kind, maybe, exact, _, begin, length in _slices(batch.column(1).to_pylist()):
                 wanted = seed_size(length, window)
                 for size in np.unique(wanted):
-                    at, h = windows(doc, token, kind, int(size))
+                    at, h = windows(doc, token, kind, maybe, exact, int(size))
                     ok = wanted[doc[at]] == size
                     at, h = at[ok], h[ok]
                     d = doc[at]
@@ -184,10 +218,10 @@ def regions(docs: DataFrame, id_col: str, text_col: str, sizes: list[int], bitma
     names = ["doc_id", "tokens", "kinds", "values", "seeds"]
 
     def cut(ids, texts) -> Iterator[pa.RecordBatch]:
-        for k, doc, token, kind, values, begin, length in _slices(texts):
+        for k, doc, token, kind, maybe, exact, values, begin, length in _slices(texts):
             hits = []
             for size in sizes:
-                at, h = windows(doc, token, kind, size)
+                at, h = windows(doc, token, kind, maybe, exact, size)
                 ok = np.logical_and.reduce([bitmap[b] for b in filter_bits(h)])
                 hits.append((at[ok], np.full(int(ok.sum()), size), h[ok].view(np.int64)))
             at, size, h = (np.concatenate(c) for c in zip(*hits))
@@ -204,7 +238,7 @@ def regions(docs: DataFrame, id_col: str, text_col: str, sizes: list[int], bitma
                 seeds = [{"at": int(x - lo), "size": int(n), "hash": int(y)} for x, n, y in zip(at[a:b], size[a:b], h[a:b])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([ids[k + d]], pa.int64()), pa.array([token[lo:hi].view(np.int64)], pa.list_(pa.int64())),
-                     pa.array([kind[lo:hi].astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([(kind + MAYBE * maybe)[lo:hi].astype(np.int32)], pa.list_(pa.int32())),
                      pa.array([values(slice(lo, hi))], pa.list_(pa.string())), pa.array([seeds], _SEED)], names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +252,7 @@ def regions(docs: DataFrame, id_col: str, text_col: str, sizes: list[int], bitma
 
 
 class Text:
-    """Template tokens, kinds and values of an item or of a part of a document."""
+    """Template tokens, kinds (MAYBE: plain or a name) and values of an item or of a part of a document."""
 
     def __init__(self, tokens, kinds, values):
         self.tokens, self.kinds, self.values = tokens, kinds, values
@@ -230,9 +264,21 @@ def paired(theirs: dict, ours: dict, pairs) -> bool:
     return all(theirs.setdefault(t, o) == o and ours.setdefault(o, t) == t for t, o in pairs)
 
 
+def pairs_at(item: Text, part: Text, places, shift: int) -> set:
+    """A word that may be a name is one where the other side's is a name."""
+    return {(item.values[k], part.values[k + shift]) for k in places
+            if item.kinds[k] != MAYBE or part.kinds[k + shift] == NAME or item.values[k] != part.values[k + shift]}
+
+
+def same_tokens(item: Text, part: Text, a: int, b: int, shift: int) -> np.ndarray:
+    x, y = item.kinds[a:b], part.kinds[a + shift:b + shift]
+    return ((item.tokens[a:b] == part.tokens[a + shift:b + shift])
+            | (x == MAYBE) & (y == NAME) | (x == NAME) & (y == MAYBE))
+
+
 def slot_pairs(item: Text, part: Text, i: int, shift: int, n: int) -> set:
     a, b = np.searchsorted(item.slots, [i, i + n])
-    return {(item.values[k], part.values[k + shift]) for k in item.slots[a:b]}
+    return pairs_at(item, part, item.slots[a:b], shift)
 
 
 def equal_runs(item: Text, part: Text, low: int, high: int) -> list[tuple[int, int, int]]:
@@ -243,7 +289,7 @@ def equal_runs(item: Text, part: Text, low: int, high: int) -> list[tuple[int, i
         a, b = max(0, -shift), min(n, m - shift)
         if b - a < MIN_RUN:
             continue
-        same = np.concatenate(([0], item.tokens[a:b] == part.tokens[a + shift:b + shift], [0]))
+        same = np.concatenate(([0], same_tokens(item, part, a, b, shift), [0]))
         edge = np.flatnonzero(np.diff(same))
         found += [(int(a + x), shift, int(y - x)) for x, y in zip(edge[::2], edge[1::2]) if y - x >= MIN_RUN]
     return sorted(found, key=lambda r: (r[0] + r[1], r[0]))
@@ -251,7 +297,7 @@ def equal_runs(item: Text, part: Text, low: int, high: int) -> list[tuple[int, i
 
 def chains(item: Text, part: Text, runs: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, set]]:
     """(tokens, longest run with enough plain tokens, slot pairs) of the best consistent chain to each run."""
-    plain = np.concatenate(([0], np.cumsum(item.kinds == PLAIN)))
+    plain = np.concatenate(([0], np.cumsum((item.kinds == PLAIN) | (item.kinds == MAYBE))))
     done = []
     for i, shift, n in runs:
         own = slot_pairs(item, part, i, shift, n)
@@ -285,7 +331,7 @@ def best_chain(item: Text, part: Text, seeds: list[tuple[int, int, int]], min_co
         held = np.zeros(n, bool)
         for a, size in places:
             held[a:a + size] = True
-        pairs = {(item.values[k], part.values[k + shift]) for k in item.slots if held[k]}
+        pairs = pairs_at(item, part, [k for k in item.slots if held[k]], shift)
         if paired({}, {}, pairs):
             judge(int(held.sum()), 0, pairs)
     if max(found, default=(0,))[:2] == (1.0, True):
@@ -306,8 +352,8 @@ def _aligned(min_coverage: float):
                 part = Text(np.array(row["tokens"], np.int64), np.array(row["kinds"]), row["values"])
                 out = []
                 for entry in row["items"]:
-                    _, _, token, kind, values, _, _ = next(_slices([entry["text"]]))
-                    item = Text(token.view(np.int64), kind, values(slice(None)))
+                    _, _, token, kind, maybe, _, values, _, _ = next(_slices([entry["text"]]))
+                    item = Text(token.view(np.int64), kind + MAYBE * maybe, values(slice(None)))
                     best = best_chain(item, part, [(s["at"], s["item_at"], s["size"]) for s in entry["seeds"]], min_coverage)
                     if best:
                         out.append((row["doc_id"], entry["item_id"], *best))

@@ -317,6 +317,13 @@ def test_leaks_survive_a_broken_copy(spark):
                     [" ".join(long)]) == set()
 
 
+def test_leaks_short_and_numeric_items(spark):
+    items = ["What is the capital of France?", "What is 17 + 25 ?", "Calculate the square root of 81 now please Sir"]
+    rows = ["Quiz\nWhat is the capital of France?", "so What is the capital of France?", "answer: What is 17 + 25 ?",
+            "what is 18 + 25 ?", "Quiz Calculate the square root of 81 now please Sir", "what is the capital gain"]
+    assert leaks_of(spark, rows, items) == {(0, 0), (1, 0), (2, 1), (4, 2)}
+
+
 def test_leaks_hold_every_contained_item(spark, texts):
     items = {r["item_id"]: r["text"] for r in read_table(spark, SF, "benchmark").collect()}
     expected = {(d, i) for d, t in texts.items() for i, b in items.items() if t and b in t}
