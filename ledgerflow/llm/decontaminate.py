@@ -7,7 +7,7 @@ seed. Around the seeds, the equal runs of document and item are chained in order
 words of drift apart, so that words put in, left out or changed do not hide a copy. A
 document holds a benchmark item if such a chain has enough of its tokens, or one unbroken
 run of ``RUN_TOKENS``, and the slots of the chain are consistent: each value of the item
-stands for one value of the document and the other way round, so re-parameterised
+stands for one value of the document, so re-parameterised
 questions are caught and chance matches of placeholders are not. ``coverage`` is the
 share of the item's tokens in the chain.
 
@@ -84,6 +84,7 @@ class Vocabulary(dict):
         self.token = np.zeros(1024, np.uint64)
         self.exact = np.zeros(1024, np.uint64)
         self.kind, self.capital, self.ends = np.zeros(1024, np.int8), np.zeros(1024, bool), np.zeros(1024, bool)
+        self.open = np.zeros(1024, bool)  # no punctuation after it
 
     def __missing__(self, word: str) -> int:
         core = word if word.isalpha() else _EDGE.sub("", word)
@@ -95,13 +96,14 @@ class Vocabulary(dict):
             kind = UNIT
         at = self[word] = len(self.values)
         if at == len(self.token):
-            for name in ("token", "exact", "kind", "capital", "ends"):
+            for name in ("token", "exact", "kind", "capital", "ends", "open"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate((old, np.zeros_like(old))))
         self.token[at] = xxhash.xxh64_intdigest(f"<{kind}>" if kind else low) if core else 0
         self.exact[at] = xxhash.xxh64_intdigest(low, 1)
         self.kind[at] = kind
         self.capital[at] = kind == PLAIN and core[:1].isupper() and core[1:2].islower() and low not in STARTERS
+        self.open[at] = word.endswith(core)
         self.ends[at] = word == BREAK or word[-1] in ".!?:;" or word[-2:-1] in (".", "!", "?")
         self.values.append(low)
         return at
@@ -118,9 +120,11 @@ _NAME_HASH = xxhash.xxh64_intdigest("<3>")
 
 
 def templates(texts: list[str | None], vocabulary: Vocabulary):
-    """(document number, token hash, kind, word id, may be a name) of every template token of some texts.
+    """(document number, token hash, kind, may be a name, exact hash, values) of every template token of some texts.
 
-    A capitalised word at the start of a text, line or sentence is a plain word that may be a name.
+    Neighbouring numbers or names without punctuation between them are one token. A capitalised word
+    at the start of a text, line or sentence is a plain word that may be a name. ``values`` gives the
+    words of a slice of tokens.
     """
     words = [(t or "").replace("\n", f" {BREAK} ").split() for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
@@ -131,8 +135,19 @@ def templates(texts: list[str | None], vocabulary: Vocabulary):
     name = capital & ~initial
     kind = np.where(name, NAME, kind)
     token = np.where(name, np.uint64(_NAME_HASH), token)
+    joined = np.zeros(len(ids), bool)
+    joined[1:] = ((kind[1:] == kind[:-1]) & ((kind[1:] == NUM) | (kind[1:] == NAME)) & ~initial[1:]
+                  & vocabulary.open[ids[:-1]])
     keep = token != 0
-    return doc[keep], token[keep], kind[keep], ids[keep], (capital & initial)[keep]
+    ids, first = ids[keep], np.flatnonzero(~joined[keep])
+    head = keep & ~joined
+    exact = np.add.reduceat(mixed(vocabulary.exact[ids], 7), first) if len(first) else np.empty(0, np.uint64)
+    last = np.append(first[1:], len(ids))
+
+    def values(at: slice) -> list[str]:
+        return [" ".join(vocabulary.values[i] for i in ids[a:b]) for a, b in zip(first[at], last[at])]
+
+    return doc[head], token[head], kind[head], (capital & initial)[head], exact, values
 
 
 def windows(doc, token, kind, maybe, exact, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +192,8 @@ def _slices(texts, docs_a_step: int = 256):
     for k in range(0, len(texts), docs_a_step):
         part = texts[k:k + docs_a_step]
         vocabulary = worker_state("template_vocabulary", Vocabulary)
-        doc, token, kind, word, maybe = templates(part, vocabulary)
-        yield (k, doc, token, kind, maybe, vocabulary.exact[word], lambda at: [vocabulary.values[i] for i in word[at]],
+        doc, token, kind, maybe, exact, values = templates(part, vocabulary)
+        yield (k, doc, token, kind, maybe, exact, values,
                np.searchsorted(doc, np.arange(len(part))), np.bincount(doc, minlength=len(part)))
 
 
@@ -259,13 +274,13 @@ class Text:
         self.slots = np.flatnonzero(kinds != PLAIN)
 
 
-def paired(theirs: dict, ours: dict, pairs) -> bool:
-    """Adds (item value, document value) pairs to a mapping; false if one contradicts it."""
-    return all(theirs.setdefault(t, o) == o and ours.setdefault(o, t) == t for t, o in pairs)
+def consistent(pairs: set) -> bool:
+    """Each value of the item stands for one value of the document."""
+    return len({t for t, _ in pairs}) == len(pairs)
 
 
 def pairs_at(item: Text, part: Text, places, shift: int) -> set:
-    """A word that may be a name is one where the other side's is a name."""
+    """A word that may be a name is one where the other side's is a name or another such word."""
     return {(item.values[k], part.values[k + shift]) for k in places
             if item.kinds[k] != MAYBE or part.kinds[k + shift] == NAME or item.values[k] != part.values[k + shift]}
 
@@ -273,7 +288,7 @@ def pairs_at(item: Text, part: Text, places, shift: int) -> set:
 def same_tokens(item: Text, part: Text, a: int, b: int, shift: int) -> np.ndarray:
     x, y = item.kinds[a:b], part.kinds[a + shift:b + shift]
     return ((item.tokens[a:b] == part.tokens[a + shift:b + shift])
-            | (x == MAYBE) & (y == NAME) | (x == NAME) & (y == MAYBE))
+            | (x >= NAME) & (y >= NAME))
 
 
 def slot_pairs(item: Text, part: Text, i: int, shift: int, n: int) -> set:
@@ -301,7 +316,7 @@ def chains(item: Text, part: Text, runs: list[tuple[int, int, int]]) -> Iterator
     done = []
     for i, shift, n in runs:
         own = slot_pairs(item, part, i, shift, n)
-        if not paired({}, {}, own):
+        if not consistent(own):
             continue
         long = n if plain[i + n] - plain[i] >= WINDOW else 0
         best = (n, long, own)
@@ -309,7 +324,7 @@ def chains(item: Text, part: Text, runs: list[tuple[int, int, int]]) -> Iterator
             # Runs may overlap by words that are equal on both sides of a break: they count once.
             over = max(0, j + size - i, j + size + other - i - shift)
             if j < i and j + other < i + shift and abs(other - shift) <= DRIFT and over < n \
-                    and total + n - over > best[0] and paired({}, {}, pairs | own):
+                    and total + n - over > best[0] and consistent(pairs | own):
                 best = (total + n - over, max(longest, long), pairs | own)
         done.append((i, shift, n, best))
         yield best
@@ -332,7 +347,7 @@ def best_chain(item: Text, part: Text, seeds: list[tuple[int, int, int]], min_co
         for a, size in places:
             held[a:a + size] = True
         pairs = pairs_at(item, part, [k for k in item.slots if held[k]], shift)
-        if paired({}, {}, pairs):
+        if consistent(pairs):
             judge(int(held.sum()), 0, pairs)
     if max(found, default=(0,))[:2] == (1.0, True):
         return max(found)

@@ -324,6 +324,16 @@ def test_leaks_short_and_numeric_items(spark):
     assert leaks_of(spark, rows, items) == {(0, 0), (1, 0), (2, 1), (4, 2)}
 
 
+def test_leaks_with_other_names_and_longer_values(spark):
+    items = ["Alice has 3 apples. Bob has 4 apples. How many do they have?",
+             "The old train to Paris leaves with 12 guests and comes back from Paris without 12 guests"]
+    rows = ["Carol has 5 apples. Dave has 6 apples. How many do they have?",
+            "Carol has 5 apples. Dave has 5 apples. How many do they have?",
+            "The old train to New York leaves with twenty five guests and comes back from New York without twenty five guests",
+            "The old train to Rome leaves with 12 guests and comes back from Oslo without 13 guests"]
+    assert leaks_of(spark, rows, items) == {(0, 0), (1, 0), (2, 1)}
+
+
 def test_leaks_hold_every_contained_item(spark, texts):
     items = {r["item_id"]: r["text"] for r in read_table(spark, SF, "benchmark").collect()}
     expected = {(d, i) for d, t in texts.items() for i, b in items.items() if t and b in t}
