@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import gram_hashes, mixed, sliding_min, stash, word_hashes
+from ledgerflow.llm.common import gram_hashes, hot_keys, mixed, sliding_min, spread_join, stash, word_hashes
 from ledgerflow.llm.fmindex import FMIndex
 
 WINDOW = 50
@@ -152,18 +152,32 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     wanted = stash(entries.join(routes, "route").select("route", "content", "first.*", "n"), "substring-wanted")
     part = F.struct("route", "content", "start", "windows")
 
-    def searched(which: DataFrame, words: int, single: bool) -> DataFrame:
+    def searched(which: DataFrame, words: int) -> DataFrame:
         asked = which.groupBy("doc_id").agg(F.collect_list(part).alias("parts"))
-        texts = segment_texts(docs, asked, window, single)
+        texts = segment_texts(docs, asked, window, False)
         return search_shards(texts, max(1, math.ceil(words / SHARD_WORDS)), window)
 
+    def searched_windows(which: DataFrame) -> DataFrame:
+        """As ``searched``, window by window: of equal windows one goes to a shard, with their smallest document."""
+        asked = which.groupBy("doc_id").agg(F.collect_list(part).alias("parts"))
+        key = ["route", "second"]
+        texts = stash(segment_texts(docs, asked, window, True).withColumn("second", F.xxhash64("words")), "substring-windows")
+        one = stash(texts.groupBy(*key).agg(F.min(F.struct("doc_id", "words")).alias("one"), F.count(F.lit(1)).alias("n"))
+                    .select(*key, "one.*", "n"), "substring-distinct")
+        # ``content`` is the second half of the key here.
+        runs = search_shards(one.select("route", F.col("second").alias("content"), F.lit(0).alias("at"), "doc_id", "words"),
+                             max(1, math.ceil(one.count() * window / SHARD_WORDS)), window)
+        runs = runs.select("route", F.col("content").alias("second"), "runs")
+        places = texts.select(*key, "content", "at")
+        return spread_join(places, runs, hot_keys(one, key, "n"), key, F.struct("content", "at")).select(
+            "route", "content", "at", "runs")
+
     hot = F.col("n") > HOT_ENTRIES
     sizes = wanted.agg(F.sum(F.when(~hot, F.col("windows") + window - 1)).alias("cold"),
                        F.sum(F.when(hot, F.col("windows").cast("long"))).alias("hot")).first()
-    runs = searched(wanted.filter(~hot), sizes["cold"] or 0, False)
+    runs = searched(wanted.filter(~hot), sizes["cold"] or 0)
     if sizes["hot"]:
-        # Equal windows come from every entry that has them: one of each and document is enough.
-        runs = runs.unionByName(searched(wanted.filter(hot), sizes["hot"] * window, True))
+        runs = runs.unionByName(searched_windows(wanted.filter(hot)))
     runs = stash(runs.select("content", "at", "runs"), "substring-runs")
     lost = F.filter("runs", lambda r: r["doc"] < F.col("doc_id"))
     spans = F.transform(lost, lambda r: F.struct((F.col("start") + F.col("at") + r["from"]).alias("from"),

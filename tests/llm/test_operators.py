@@ -206,6 +206,22 @@ def test_substring_matches_brute_force(spark, monkeypatch, hot):
     assert substring.removal_digest(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_substring_equal_hot_windows_go_to_a_shard_once(spark, monkeypatch):
+    monkeypatch.setattr(substring, "HOT_ENTRIES", 2)
+    given, search = [], substring.search_shards
+
+    def counted(texts, shards, window):
+        given.append((texts.count(), texts.select("words").distinct().count()))
+        return search(texts, shards, window)
+
+    monkeypatch.setattr(substring, "search_shards", counted)
+    rows = substring_rows()
+    expected = windows_removed(dict(enumerate(rows)))
+    got = substring.remove_repeated_windows(docs_of(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == expected
+    assert len(given) == 2 and given[1][0] == given[1][1] > 0
+
+
 def test_fm_index_counts_like_a_scan():
     rng = np.random.default_rng(5)
     docs = [rng.integers(1, 4, n).astype(np.int64) for n in (30, 12, 5, 40)]
