@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerflow.llm import licenses, linededup
+from ledgerflow.llm import audit, chat, licenses, linededup, manifest
 
 _BLANKS = "'[ \\t\\n\\x0B\\f\\r]+'"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -119,9 +119,131 @@ FROM judged j LEFT JOIN near n USING (doc_id)
 """
 
 
+def _field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR))::VARCHAR || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _row_digest(text: str = "text") -> str:
+    return "sha256(" + " || ".join(_field(text if c == "text" else c) for c in manifest.FIELDS) + ")"
+
+
+# crc32 of a decimal number, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+  lambda acc, byte: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda r, z: xor(r >> 1, (r & 1) * 3988292384), xor(acc, byte)), 4294967295::BIGINT))"""
+
+
+def _steps(nodes: str) -> str:
+    """(tree, level, place, bef, aft): the joined hashes of a node's run on either side of it."""
+    return f"""
+  SELECT a.tree, a.level, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS bef,
+         coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS aft
+  FROM {nodes} a JOIN {nodes} b ON a.tree = b.tree AND a.level = b.level AND a.place // 8 = b.place // 8
+  WHERE a.n > 1 GROUP BY 1, 2, 3"""
+
+
+def _climb(nodes: str) -> str:
+    return f"""SELECT tree, level + 1, place // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY place))
+  FROM {nodes} WHERE n > 1 GROUP BY tree, level, place // 8"""
+
+
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_row_digest()} AS leaf,
+         CASE WHEN {_CRC32} % 3 = 0 THEN {_row_digest(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS presented
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS n FROM d),
+nodes(tree, level, place, n, h) AS (SELECT tree, 0, place, n, leaf FROM leaves UNION ALL {_climb("nodes")}),
+subroots AS (
+  SELECT tree AS grp, level AS height, h, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops(tree, level, place, n, h) AS (SELECT '^', 0, place, n, h FROM subroots UNION ALL {_climb("tops")}),
+top_steps AS ({_steps("tops")}),
+steps AS (
+  {_steps("nodes")}
+  UNION ALL
+  SELECT grp, height + t.level, 0, bef, aft FROM subroots s JOIN top_steps t ON t.place = s.place >> (3 * t.level)),
+proofs AS (
+  SELECT l.doc_id, l.leaf, l.tree, l.place, sha256(coalesce(string_agg(bef || aft, '' ORDER BY level), '')) AS proof_sha256
+  FROM leaves l LEFT JOIN steps s ON s.tree = l.tree AND s.place = l.place >> (3 * s.level) GROUP BY ALL),
+fold(tree, place, level, h) AS (
+  SELECT tree, place, 0, coalesce(presented, leaf) FROM leaves
+  UNION ALL
+  SELECT f.tree, f.place, f.level + 1, sha256(bef || f.h || aft)
+  FROM fold f JOIN steps s ON s.tree = f.tree AND s.level = f.level AND s.place = f.place >> (3 * f.level))
+SELECT p.doc_id, p.leaf, r.h AS subroot, t.h AS root, p.proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM proofs p JOIN subroots r ON r.grp = p.tree JOIN (SELECT h FROM tops WHERE n = 1) t ON true
+JOIN (SELECT tree, place, arg_max(h, level) AS h FROM fold GROUP BY 1, 2) f ON f.tree = p.tree AND f.place = p.place
+"""
+
+OP12 = f"""
+WITH letters AS (SELECT unnest(string_split('{audit.FILTERS}', '')) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), {_BLANKS}), lambda x: x <> '') AS ws FROM documents),
+marks AS (
+  SELECT doc_id, max(coalesce(quality, 0) = 1) AS good, max(coalesce(toxic, 0) = 1) AS toxic FROM labels GROUP BY 1),
+bits AS (
+  SELECT part, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+                100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), regexp_matches(t, '{audit.SYMBOLS}'),
+                coalesce(min(w.doc_id) OVER (PARTITION BY t) < w.doc_id, false)] AS fails,
+         coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM w LEFT JOIN marks ON marks.doc_id = w.doc_id),
+cells AS (SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM bits GROUP BY 1, 2),
+judged AS (
+  SELECT part, filter_order, n, good, toxic, len(list_filter(fails, lambda f: f)) AS n_fails,
+         list_transform(string_split(filter_order, ''), lambda x: fails[instr('{audit.FILTERS}', x)]) AS f
+  FROM cells, orders),
+steps AS (
+  SELECT *, unnest(range(1, 6)) AS step, coalesce(list_position(f, true), 6) AS hit FROM judged),
+figures AS (
+  SELECT part, filter_order, step, sum(CASE WHEN hit > step THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN hit = step THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN f[step] AND hit < step THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN f[step] AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN hit = step THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN hit = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM steps GROUP BY 1, 2, 3)
+SELECT part, filter_order, step::INTEGER AS step,
+       kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, substr(filter_order, step::INTEGER, 1)))::BIGINT AS shapley
+FROM figures
+"""
+
+
+def _escaped(column: str) -> str:
+    return rf"regexp_replace({column}, '<(\\*)\|', '<\\\1|', 'g')"
+
+
+_MARKS = len(chat.START) + len(chat.SEP) + len(chat.CLOSE)
+OP13 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{chat.CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{chat.CONTROL_TEXT}'),
+said AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum({_MARKS} + length({_escaped('role')}) + length({_escaped('text')}))::BIGINT AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars
+FROM said
+"""
+
+
 ORACLE_SQL = {
     "op4_substring_dedup": OP4,
     "op6_license_scan": _op6(),
     "op8_minhash_near_dedup": OP8,
     "op9_line_dedup": OP9,
+    "op11_merkle_manifest": OP11,
+    "op12_filter_audit": OP12,
+    "op13_chat_formatting": OP13,
 }
