@@ -16,6 +16,8 @@ from ledgerflow.sources import adapter
 # Query parameters: the whole date range of the driver tables, and one month.
 FULL = Period(date(1995, 1, 1), date(2001, 12, 31))
 MONTH = Period(date(1998, 3, 1), date(1998, 3, 31))
+# Rides of these days are stored four weeks early before the correction.
+EARLY_DAYS = Period(date(1998, 3, 1), date(1998, 3, 10))
 TRACE_ACCOUNT = "4100"
 TRACE_COUNTRY = "EUROPE"
 PREVIEW_ROWS = 5

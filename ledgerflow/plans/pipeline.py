@@ -13,7 +13,8 @@ executor only recomputes the layer being built.
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -24,6 +25,7 @@ from ledgerflow.operators import balances, journal, posting, quality, staging, s
 from ledgerflow.periods import Period
 from ledgerflow.session import checkpoint_dir
 from ledgerflow.sources.adapter import Books
+from ledgerflow.sources.orderstate import OrderState
 from ledgerflow.sources.sinks import PeriodTable
 
 # Stored tables and the date column their period replacement deletes by.
@@ -38,6 +40,14 @@ TABLES = {
     "rpt_balance_sheet_detail": "report_date",
     "rpt_balance_sheet_summary": "report_date",
 }
+# Unique keys: rows whose key arrives again are replaced, whatever month they are in. The other
+# tables' keys hold the column that the period replacement deletes by.
+KEYS = {
+    "stg_rides": ["order_id"],
+    "stg_rides_quarantine": ["quarantine_id"],
+    "int_journal_entries": ["journal_entry_id"],
+    "fct_general_ledger": ["journal_entry_id"],
+}
 # Tables with one row per month and account: a run rebuilds the months it touches.
 MONTHLY = frozenset(["fct_trial_balance"])
 
@@ -59,7 +69,10 @@ class Warehouse:
 
     def table(self, name: str) -> PeriodTable:
         return PeriodTable(self.spark, f"{self.root}/{name}", TABLES[name], self.work_dir,
-                           self.whole_months or name in MONTHLY)
+                           self.whole_months or name in MONTHLY, KEYS.get(name))
+
+    def order_state(self) -> OrderState:
+        return OrderState(self.spark, f"{self.root}/order_state")
 
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
@@ -69,14 +82,18 @@ class Warehouse:
 class RunResult:
     period: Period
     reports: dict[str, list[tuple]] = field(default_factory=dict)
+    # Row-wise check counts of each table, taken while it was written.
+    seen: dict = field(default_factory=dict, repr=False)
 
     @property
     def failing(self) -> list[tuple]:
         return [r for rows in self.reports.values() for r in rows if r[3] > 0]
 
 
-def _store(wh: Warehouse, name: str, df: DataFrame, period: Period, full_refresh: bool) -> DataFrame:
+def _store(wh: Warehouse, name: str, df: DataFrame, period: Period, full_refresh: bool,
+           watch: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
     t = wh.table(name)
+    df = watch(name, df)
     if full_refresh:
         t.overwrite(df)
     else:
@@ -93,16 +110,22 @@ def _together(*jobs):
         return [f.result() for f in futures]
 
 
-def _prepare_source(spark: SparkSession, rides: DataFrame, period: Period, wh: Warehouse,
+def _prepare_source(spark: SparkSession, books: Books, period: Period, wh: Warehouse,
                     full_refresh: bool) -> tuple[DataFrame, str]:
     """Write the staging input once to the shared work folder and read it back.
 
-    Staging deduplicates over whole orders, so a period run needs every source
-    row of the orders that occur in the period (a null-safe semi join); the
-    quarantine needs the period rows, a subset. Writing it cuts the lineage
-    and spares both outputs from re-deriving the source.
+    Staging deduplicates over whole orders. With a first-seen state a period run needs the
+    period's rows only; without one (rides that come from no files) every source row of the orders
+    that occur in the period (a null-safe semi join). The quarantine needs the period rows. Writing
+    it cuts the lineage and spares both outputs from re-deriving the source.
     """
-    needed = rides if full_refresh else staging.orders_touching(rides, period)
+    rides = books.rides
+    if full_refresh:
+        needed = rides
+    elif books.source:
+        needed = rides.where(staging.in_period_by_start(period))
+    else:
+        needed = staging.orders_touching(rides, period)
     path = f"{wh.work_dir}/run-source-{uuid.uuid4().hex}"
     needed.write.parquet(path)
     return spark.read.schema(rides.schema).parquet(path), path
@@ -119,10 +142,19 @@ def _whole_months(period: Period) -> bool:
     return period.start == months[0].start and period.end == months[-1].end
 
 
-def _gate(result: RunResult, layer: str, tables: dict, books: Books, mode: str) -> None:
+def _gate(result: RunResult, layer: str, tables: dict, books: Books, mode: str, wh: Warehouse) -> None:
+    """Check a layer before the next is built.
+
+    Uniqueness is checked against all stored months through the key index; every other check is
+    additive over rows, and rows outside the period stand as earlier runs have checked them.
+    Row-wise checks were counted while the layer was written.
+    """
     if mode == "off":
         return
-    rows = [tuple(r) for r in quality.layer_report(layer, tables, books.countries).collect()]
+    keyed = [m for m in tables if m in KEYS]
+    found = _together(*[lambda m=m: wh.table(m).duplicate_keys(result.period) for m in keyed]) if keyed else []
+    repeated = dict(zip(keyed, found))
+    rows = quality.layer_rows(layer, tables, books.countries, result.seen, repeated)
     result.reports[layer] = rows
     failing = [r for r in rows if r[3] > 0]
     if failing and mode == "stop":
@@ -136,31 +168,64 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
 
     ``gate="stop"`` raises ``QualityError`` at the first layer with failing
     checks, before the next layer is built; ``"warn"`` records and goes on.
+    Each table's new version becomes visible by one commit; a run that dies leaves every table
+    at one version or the next.
     """
     if gate not in GATE_MODES:
         raise ValueError(f"gate must be one of {GATE_MODES}")
+    # Key indexes and the first-seen state are built beside the layers; the run waits for them.
+    with ThreadPoolExecutor(max_workers=3) as later:
+        pending: list[Future] = []
+        result = _build(spark, books, period, warehouse, run_ts, gate, full_refresh, later, pending)
+        for job in pending:
+            job.result()
+    return result
+
+
+def _build(spark: SparkSession, books: Books, period: Period, warehouse: Warehouse, run_ts: datetime | None,
+           gate: str, full_refresh: bool, later: ThreadPoolExecutor, pending: list[Future]) -> RunResult:
+    def watch(name: str, df: DataFrame) -> DataFrame:
+        if gate != "off":
+            df, seen = quality.watch(name, df, books.countries)
+            if seen is not None:
+                res.seen[name] = seen
+        return df
+
+    def index(*names: str) -> None:
+        if gate == "off":  # else the gate has built them
+            pending.extend(later.submit(wh.table(n).build_index) for n in names)
+
     ts = F.lit(run_ts or datetime.now())
     res = RunResult(period)
     wh = warehouse
     in_period = period.contains(F.col("ride_date"))
 
-    # staging: both outputs read one materialized input, the source rows of every
-    # order that occurs in the period (all rows on a full refresh)
-    source, source_path = _prepare_source(spark, books.rides, period, wh, full_refresh)
-    staged = staging.stage_rides(source, period)
-    rejected = staging.quarantine_rides(source, period)
-    stg, qua = _together(
-        lambda: _store(wh, "stg_rides", staged.withColumn("loaded_at", ts), period, full_refresh),
-        lambda: _store(wh, "stg_rides_quarantine", rejected.withColumn("quarantined_at", ts),
-                       period, full_refresh))
+    # staging: both outputs read one materialized input (all rows on a full refresh)
+    known = later.submit(wh.order_state().refresh, books.source) if books.source else None
+    pending.extend([known] if known else [])
+    source, source_path = _prepare_source(spark, books, period, wh, full_refresh)
+
+    def store_staged():
+        staged = staging.stage_rides(source, period)
+        if known and not full_refresh:
+            known.result()
+            staged = wh.order_state().first_seen_in(staged, period)
+        return _store(wh, "stg_rides", staged.withColumn("loaded_at", ts), period, full_refresh, watch)
+
+    def store_rejected():
+        rejected = staging.quarantine_rides(source, period)
+        return _store(wh, "stg_rides_quarantine", rejected.withColumn("quarantined_at", ts), period, full_refresh, watch)
+
+    stg, qua = _together(store_staged, store_rejected)
     _drop(spark, source_path)
+    index("stg_rides", "stg_rides_quarantine")
     # reference tables: size-checked once per run, then broadcast by hint
     rules = posting.bounded_broadcast(posting.posting_rules(books.rules))
     accounts = posting.bounded_broadcast(posting.chart_of_accounts(books.accounts))
     _gate(res, "staging", {"stg_rides": stg.where(in_period),
                            "stg_rides_quarantine": qua.where(in_period),
                            "stg_account_mapping": rules, "stg_chart_of_accounts": accounts},
-          books, gate)
+          books, gate, wh)
 
     # intermediate and ledger. Under a stopping gate the ledger waits for the
     # journal's checks; otherwise both are derived from the stored staged rows
@@ -168,55 +233,56 @@ def run_period(spark: SparkSession, books: Books, period: Period, warehouse: War
     jr_fresh = journal.journal_entries(stg.where(in_period))
     if gate == "stop":
         jr = _store(wh, "int_journal_entries", jr_fresh.withColumn("loaded_at", ts), period,
-                    full_refresh)
-        _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate)
+                    full_refresh, watch)
+        _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate, wh)
         gl_fresh = posting.general_ledger(jr.where(in_period).drop("loaded_at"), rules, accounts,
                                           broadcast_check=False)
         gl = _store(wh, "fct_general_ledger", gl_fresh.withColumn("loaded_at", ts), period,
-                    full_refresh)
+                    full_refresh, watch)
     else:
         gl_fresh = posting.general_ledger(jr_fresh, rules, accounts, broadcast_check=False)
         jobs = [
             lambda: _store(wh, "int_journal_entries", jr_fresh.withColumn("loaded_at", ts), period,
-                           full_refresh),
+                           full_refresh, watch),
             lambda: _store(wh, "fct_general_ledger", gl_fresh.withColumn("loaded_at", ts), period,
-                           full_refresh)]
+                           full_refresh, watch)]
         # For whole months the stored ledger of those months is exactly the
         # fresh one, so the trial balance can be built alongside.
         if _whole_months(period):
             jobs.append(lambda: _store(wh, "fct_trial_balance",
                                        balances.trial_balance(gl_fresh, period), period,
-                                       full_refresh))
+                                       full_refresh, watch))
         done = _together(*jobs)
         jr, gl = done[0], done[1]
-        _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate)
-    _gate(res, "general_ledger", {"fct_general_ledger": gl.where(in_period)}, books, gate)
+        _gate(res, "intermediate", {"int_journal_entries": jr.where(in_period)}, books, gate, wh)
+    index("int_journal_entries", "fct_general_ledger")
+    _gate(res, "general_ledger", {"fct_general_ledger": gl.where(in_period)}, books, gate, wh)
 
     if gate == "stop" or not _whole_months(period):
         tb = balances.trial_balance(gl.drop("loaded_at"), period)
-        tb = _store(wh, "fct_trial_balance", tb, period, full_refresh)
+        tb = _store(wh, "fct_trial_balance", tb, period, full_refresh, watch)
     else:
         tb = done[2]
-    _gate(res, "trial_balance", {"fct_trial_balance": tb}, books, gate)
+    _gate(res, "trial_balance", {"fct_trial_balance": tb}, books, gate, wh)
 
     # reports: income statement on the period's months, balance sheet cumulative
     all_tb = wh.table("fct_trial_balance").read(tb.schema)
     isd, bsd = _together(
         lambda: _store(wh, "rpt_income_statement_detail",
-                       statements.income_statement_detail(all_tb, period), period, full_refresh),
+                       statements.income_statement_detail(all_tb, period), period, full_refresh, watch),
         lambda: _store(wh, "rpt_balance_sheet_detail",
-                       statements.balance_sheet_detail(all_tb, period), period, full_refresh))
+                       statements.balance_sheet_detail(all_tb, period), period, full_refresh, watch))
     iss, bss = _together(
         lambda: _store(wh, "rpt_income_statement_summary",
-                       statements.income_statement_summary(isd, period), period, full_refresh),
+                       statements.income_statement_summary(isd, period), period, full_refresh, watch),
         lambda: _store(wh, "rpt_balance_sheet_summary",
-                       statements.balance_sheet_summary(bsd, period), period, full_refresh))
+                       statements.balance_sheet_summary(bsd, period), period, full_refresh, watch))
     on_end = period.contains(F.col("period_end"))
     on_report = period.contains(F.col("report_date"))
     _gate(res, "reports", {"rpt_income_statement_detail": isd.where(on_end),
                            "rpt_income_statement_summary": iss.where(on_end),
                            "rpt_balance_sheet_detail": bsd.where(on_report),
-                           "rpt_balance_sheet_summary": bss.where(on_report)}, books, gate)
+                           "rpt_balance_sheet_summary": bss.where(on_report)}, books, gate, wh)
     return res
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +58,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder, for what has to be stored; one process on its own makes one where none is named.
+
+    A cluster's machines do not share a local folder, so a session on one has to name its folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return checkpoint_dir(spark, fallback=named)
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+    return checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="ledgerflow-"))
+
+
 def has_checkpoint_dir(spark: SparkSession) -> bool:
     sc = spark.sparkContext
     return bool(sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None))

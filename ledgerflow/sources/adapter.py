@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
+from ledgerflow.sources.orderstate import RideFiles
 
 # Adapter parameters (not reference values): chart, posted regions and the VAT
 # rate table used when re-pricing rides by country.
@@ -54,6 +55,8 @@ class Books:
     rules: DataFrame
     accounts: DataFrame
     countries: tuple[str, ...]
+    # The files behind ``rides``, where it reads files: lets stored runs keep a first-seen state.
+    source: RideFiles | None = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,12 +126,17 @@ def spread_splits(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def adapter_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spread_splits(table(spark, sf_dir, "lineitem"))
+def adapter_rides(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    lineitem = spread_splits(table(spark, sf_dir, "lineitem") if lineitem is None else lineitem)
     return rides_from_tables(lineitem, table(spark, sf_dir, "supplier"),
                              table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
 
 
+def adapter_files(spark: SparkSession, sf_dir: str) -> RideFiles:
+    return RideFiles(table(spark, sf_dir, "lineitem"),
+                     lambda paths: adapter_rides(spark, sf_dir, spark.read.parquet(*paths)))
+
+
 def adapter_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posting rules: every line type for each posted region of the region table."""
     regions = (table(spark, sf_dir, "region")
@@ -147,7 +155,7 @@ def adapter_accounts(spark: SparkSession) -> DataFrame:
 
 def adapter_books(spark: SparkSession, sf_dir: str) -> Books:
     return Books(adapter_rides(spark, sf_dir), adapter_rules(spark, sf_dir),
-                 adapter_accounts(spark), tuple(POSTED_REGIONS))
+                 adapter_accounts(spark), tuple(POSTED_REGIONS), adapter_files(spark, sf_dir))
 
 
 def adapter_vat_rates(spark: SparkSession) -> DataFrame:

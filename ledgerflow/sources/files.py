@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow import schemas as S
+from ledgerflow.sources.orderstate import RideFiles
 
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def _read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
     # Declared types bound to the header's names, whatever their order, and FAILFAST: a
     # malformed number raises instead of silently becoming null, a missing column too.
     header = spark.read.option("header", True).csv(path).columns
@@ -29,7 +30,7 @@ def _read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
             .csv(path).select(*schema.fieldNames()))
 
 
-def read_rides(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_rides(spark: SparkSession, path: str | list[str], fmt: str = "csv") -> DataFrame:
     """Billing rows with the declared schema (CSV or Parquet)."""
     if fmt == "csv":
         return _read_csv(spark, path, S.RIDES)
@@ -37,6 +38,12 @@ def read_rides(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in S.RIDES.fields])
 
 
+def ride_files(spark: SparkSession, path: str, fmt: str = "csv") -> RideFiles:
+    """The files of ``read_rides``, for runs that keep a first-seen state."""
+    listed = spark.read.schema(S.RIDES).format(fmt).load(path)
+    return RideFiles(listed, lambda paths: read_rides(spark, paths, fmt))
+
+
 def read_account_mapping(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv(spark, path, S.ACCOUNT_MAPPING)
 
