@@ -100,10 +100,6 @@ def billing_validation(rides: DataFrame, rules: DataFrame) -> DataFrame:
     credit = F.col("amount") + F.col("vat_amount")
     stats = rides.agg(
         F.count(F.lit(1)).alias("rides_row_count"),
-        (F.count_distinct("ride_id") + F.max(F.col("ride_id").isNull().cast("int"))
-         == F.count(F.lit(1))).alias("ride_id_unique"),
-        (F.count_distinct("order_id") + F.max(F.col("order_id").isNull().cast("int"))
-         == F.count(F.lit(1))).alias("order_id_unique"),
         LF.report_money(F.max(vat_diff)).alias("vat_calculation_max_diff"),
         LF.report_money(F.max(sum_diff)).alias("sum_with_vat_max_diff"),
         F.count_if(coupon).alias("coupon_count"),
@@ -113,8 +109,15 @@ def billing_validation(rides: DataFrame, rules: DataFrame) -> DataFrame:
         F.coalesce(F.bool_and(F.when(coupon, F.col("coupon_amount") == F.lit(S.COUPON_DISCOUNT))),
                    F.lit(True)).alias("coupon_amount_all_3"),
         LF.report_money(F.abs(F.sum(debit) - F.sum(credit))).alias("double_entry_balance_diff"))
+    # Both keys in one aggregate by (name, value) with map-side combine; a null counts as a value.
+    keys = rides.select(F.inline(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value"))
+                                           for c in ("ride_id", "order_id")])))
+    most = keys.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n")).agg(
+        *[F.max(F.when(F.col("key") == c, F.col("n"))).alias(c) for c in ("ride_id", "order_id")])
     mapping_rows = rules.agg(F.count(F.lit(1))).scalar()
-    return (stats.withColumn("mapping_row_count", mapping_rows)
+    return (stats.withColumn("ride_id_unique", most.select(F.col("ride_id") == 1).scalar())
+            .withColumn("order_id_unique", most.select(F.col("order_id") == 1).scalar())
+            .withColumn("mapping_row_count", mapping_rows)
             .withColumn("vat_calculation_ok", F.col("vat_calculation_max_diff") < tol)
             .withColumn("sum_with_vat_ok", F.col("sum_with_vat_max_diff") < tol)
             .withColumn("double_entry_balanced", F.col("double_entry_balance_diff") < F.lit(0.01).cast("decimal(3,2)")))

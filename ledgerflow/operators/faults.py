@@ -6,22 +6,25 @@ replacement by a seeded hash of the row key: the rows with the smallest
 
 Picking the smallest n hashes never sorts the table. The hash prefix space
 is narrowed with 256-way histograms (one small aggregate per round, at most
-256 rows to the driver) until the boundary prefix holds few rows; every row
-below the boundary prefix is hit, and only the boundary rows are ordered.
+256 rows to the driver) until the boundary prefix holds few rows or is one
+whole hash; every row below the boundary prefix is hit. The boundary rows are
+counted by content and ranked by a distributed running sum, so any number of
+rows may share the boundary hash, equal rows included.
 """
 
 from __future__ import annotations
 
 from decimal import ROUND_FLOOR, Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
+from ledgerflow.operators.ranking import running_sum
 from ledgerflow.operators.staging import ride_order
 from ledgerflow.session import keep
 
-# Stop narrowing once the boundary prefix holds at most this many rows.
+# Stop narrowing once the boundary prefix holds at most this many rows (more where one hash does).
 BOUNDARY_ROWS = 20_000
 
 
@@ -38,7 +41,7 @@ def pick_hash(seed_text: str) -> Column:
 
 def _boundary(hashed: DataFrame, n: int) -> tuple[str, int]:
     """Prefix P and count m such that rows with hash < P number n - m and the
-    n-th smallest hash starts with P (P holds at most BOUNDARY_ROWS rows)."""
+    n-th smallest hash starts with P (P holds at most BOUNDARY_ROWS rows, or is a whole hash)."""
     prefix, remaining = "", n
     while True:
         scope = hashed.where(F.col("_h").startswith(prefix)) if prefix else hashed
@@ -67,15 +70,14 @@ def mark_picks(df: DataFrame, rate: float, seed_text: str) -> DataFrame:
     prefix, m = _boundary(hashed, n)
     h = F.col("_h")
     rest = hashed.where(~h.startswith(prefix)).withColumn("_hit", h < F.lit(prefix))
-    # The boundary prefix holds at most BOUNDARY_ROWS rows (checked by the
-    # histogram). They are ranked and brought back as a small local relation,
-    # so the result scans ``df`` once and a chain of faults stays linear.
-    edge = hashed.where(h.startswith(prefix))
-    rank = F.row_number().over(Window.orderBy(h, *ride_order()))
-    marked = edge.withColumn("_hit", rank <= m)
-    edge_rows = marked.collect()
-    local = df.sparkSession.createDataFrame(edge_rows, marked.schema)
-    return rest.unionByName(local)
+    edge = hashed.where(h.startswith(prefix)).groupBy("_h", *df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    upto = running_sum(edge, [], [h.asc(), *ride_order()], "_copies", "_upto")
+    hits = F.greatest(F.lit(0).cast("bigint"), F.least(F.col("_copies"), F.lit(m) - (F.col("_upto") - F.col("_copies"))))
+    parts = F.array(F.struct(F.lit(True).alias("_hit"), hits.alias("_n")),
+                    F.struct(F.lit(False).alias("_hit"), (F.col("_copies") - hits).alias("_n")))
+    marked = (upto.select("_h", *df.columns, F.inline(parts)).where(F.col("_n") > 0)
+              .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))))
+    return rest.unionByName(marked.select(*rest.columns))
 
 
 def fault_sample(df: DataFrame, rate: float, seed_text: str) -> DataFrame:
@@ -98,13 +100,13 @@ def inject_null(df: DataFrame, rate: float = S.FAULT_RATES["null"], seed=S.FAULT
 
 
 def inject_outlier(df: DataFrame, rate: float = S.FAULT_RATES["outlier"], seed=S.FAULT_SEED) -> DataFrame:
-    """Multiply the money columns of the picked rows by 100 (decimal-point error)."""
+    """Shift the decimal point of the picked rows' money columns two places to the right."""
     times = {c: (F.col(c) * 100).cast(df.schema[c].dataType) for c in S.MONEY_COLUMNS}
     return _apply(df, rate, f"{seed}-outlier", times)
 
 
 def inject_duplicate(df: DataFrame, rate: float = S.FAULT_RATES["duplicate"], seed=S.FAULT_SEED) -> DataFrame:
-    """Append exact copies of the picked rows (duplicate event delivery)."""
+    """The table with the picked rows in it twice, as an event delivered again leaves them."""
     marked = mark_picks(df, rate, f"{seed}-duplicate")
     return df.unionByName(marked.where("_hit").select(*df.columns))
 

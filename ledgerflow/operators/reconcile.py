@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow import functions as LF
@@ -30,25 +30,30 @@ def staging_reconciliation(rides: DataFrame, period: Period,
     Staging deduplicates the whole source while the quarantine looks for
     duplicates inside the month only, so a later copy of an order in another
     month is in neither table; ``unaccounted_rows`` reports that gap.
-    """
-    month = F.trunc(F.to_date("start_time"), "month").alias("reporting_period")
-    src = rides.where(staging.in_period_by_start(period))
-    staged = staging.stage_rides(rides, period, threshold, dedup_scope="source")
-    rejected = staging.quarantine_rides(rides, period, threshold, dedup_scope="month")
-
-    def tagged(df, **counts):
-        return df.select(month, *[counts.get(c, F.lit(0)).cast("bigint").alias(c)
-                                  for c in RECON_COUNTS])
 
+    One classified scan gives all counts. Rejected rows collapse to a row a month and reason, clean
+    ones to a row an order and month with their first start. An order is staged where its first
+    start of all is, and keeps one row of a month where its first of the month is; both are minima
+    over the order's few rows. Rows after the period decide nothing and are not read.
+    """
     reason = F.col("rejection_reason")
-    parts = (tagged(src, source_rows=F.lit(1))
-             .unionByName(tagged(staged, staged_rows=F.lit(1)))
-             .unionByName(tagged(rejected,
-                                 null_rejects=(reason == S.NULL_REASON).cast("int"),
-                                 outlier_rejects=(reason == S.OUTLIER_REASON).cast("int"),
-                                 duplicate_rejects=(reason == S.DUPLICATE_REASON).cast("int"))))
-    out = parts.groupBy("reporting_period").agg(*[F.sum(c).cast("bigint").alias(c)
-                                                  for c in RECON_COUNTS])
+    clean = reason.isNull()
+    facts = (staging.classify(rides.where(staging.before_end(period)), threshold)
+             .groupBy(F.trunc(F.to_date("start_time"), "month").alias("reporting_period"), "rejection_reason",
+                      F.when(clean, F.col("order_id")).alias("order_id"),
+                      staging.in_period_by_start(period).alias("inside"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("start_time").alias("first")))
+    of_order = Window.partitionBy("order_id", "rejection_reason")
+    of_month = Window.partitionBy("order_id", "rejection_reason", "reporting_period")
+    flagged = (facts.withColumn("wins_all", clean & (F.col("first") == F.min("first").over(of_order)))
+               .withColumn("wins_month", clean & (F.col("first") == F.min("first").over(of_month)))
+               .where("inside"))
+    n, zero = F.col("n"), F.lit(0)
+    counts = {"source_rows": n, "staged_rows": F.col("wins_all").cast("int"),
+              "null_rejects": F.when(reason == S.NULL_REASON, n).otherwise(zero),
+              "outlier_rejects": F.when(reason == S.OUTLIER_REASON, n).otherwise(zero),
+              "duplicate_rejects": F.when(clean, n - F.col("wins_month").cast("int")).otherwise(zero)}
+    out = flagged.groupBy("reporting_period").agg(*[F.sum(counts[c]).cast("bigint").alias(c) for c in RECON_COUNTS])
     gap = F.col("source_rows") - F.col("staged_rows") - F.col("null_rejects") \
         - F.col("outlier_rejects") - F.col("duplicate_rejects")
     return out.withColumn("unaccounted_rows", gap.cast("bigint"))

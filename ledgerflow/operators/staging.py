@@ -23,10 +23,9 @@ Scale notes
   combine: a group of exact copies collapses to one counted row before the
   shuffle, and distinct rows of a hot order spread over all reducers.
 * Quarantine sequence numbers (needed for the surrogate id) are assigned to
-  counted rows: a running sum of copies per (order, ride, reason) and an
-  ``explode(sequence(..))`` restore one row per copy. A group with many
-  distinct rows is numbered in start-time buckets plus offsets, so no group
-  is listed in one task.
+  counted rows: a range-partitioned running sum of copies per (order, ride,
+  reason) and an ``explode(sequence(..))`` restore one row per copy, so no
+  group is listed in one task.
 """
 
 from __future__ import annotations
@@ -38,8 +37,8 @@ from pyspark.sql import functions as F
 
 from ledgerflow import functions as LF
 from ledgerflow import schemas as S
+from ledgerflow.operators.ranking import running_sum
 from ledgerflow.periods import Period
-from ledgerflow.session import has_checkpoint_dir, keep
 
 DEDUP_SCOPES = ("source", "period", "month")
 
@@ -215,83 +214,25 @@ def _counted_rejects(rides: DataFrame, threshold: Decimal, scope: str) -> DataFr
 
 
 SEQ_KEYS = ["order_id", "ride_id", "rejection_reason"]
-# A (order, ride, reason) group with more distinct rejected rows than this is
-# numbered in start-time buckets instead of one window partition.
-HOT_GROUP_ROWS = 100_000
-HOT_BUCKETS = 64
+# Copies of one row that are listed together; more are dealt in blocks of this size.
+COPIES_A_BLOCK = 100_000
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def _running_copies(df: DataFrame, part: list[str]) -> DataFrame:
-    w = (Window.partitionBy(*part).orderBy(*ride_order(("start_time",)))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn("_upto", F.sum("_copies").over(w))
-
-
-def _number_copies(counted: DataFrame, hot_rows: int = HOT_GROUP_ROWS,
-                   buckets: int = HOT_BUCKETS) -> DataFrame:
+def _number_copies(counted: DataFrame, block: int = COPIES_A_BLOCK) -> DataFrame:
     """One row per copy with its sequence inside (order, ride, reason) by start time.
 
-    Exact copies arrive collapsed (``_copies``), so a window partition holds the
-    distinct rows of one group. A group with more than ``hot_rows`` of them is
-    split into start-time quantile buckets (equal start times share a bucket,
-    so bucket order is sequence order): each bucket is numbered on its own and
-    shifted by the copies of the earlier buckets.
-
-    The split reads the counted rows several times, so they are checkpointed
-    first in the shared folder the session names. A session without one
-    (local runs) numbers every group with the single window; the ids are the
-    same either way.
+    Exact copies arrive collapsed (``_copies``) and are numbered by a running sum of copies that is
+    range-partitioned, so neither a group with many distinct rows, nor equal start times, nor a row
+    with many copies meets in one task.
     """
-    if not has_checkpoint_dir(counted.sparkSession):
-        return _explode_copies(_running_copies(counted, SEQ_KEYS))
-    counted = keep(counted)
-    # Each hot group holds more than hot_rows rows, so there are few of them.
-    # The joins below carry no broadcast hint: AQE measures these derived
-    # tables at runtime and broadcasts them (or drops an empty hot branch)
-    # from their actual size, without an extra pass over the input.
-    sizes = counted.groupBy(*SEQ_KEYS).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > hot_rows).drop("_rows").withColumn("_hot", F.lit(True))
-    flagged = _join_null_safe(counted, hot, SEQ_KEYS, "left")
-    cold = _running_copies(flagged.where(F.col("_hot").isNull()), SEQ_KEYS)
-
-    hot_rows_df = flagged.where(F.col("_hot"))
-    ts = F.unix_micros(F.col("start_time").cast("timestamp"))
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = hot_rows_df.groupBy(*SEQ_KEYS).agg(
-        F.percentile_approx(ts, fractions, 10_000).alias("_bounds"))
-    bucketed = _join_null_safe(hot_rows_df, bounds, SEQ_KEYS, "inner").withColumn(
-        "_bucket", F.when(ts.isNull(), F.lit(buckets))
-        .otherwise(F.size(F.filter("_bounds", lambda b: b < ts)))).drop("_bounds")
-    local = _running_copies(bucketed, SEQ_KEYS + ["_bucket"])
-    before = Window.partitionBy(*SEQ_KEYS).orderBy("_bucket") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (bucketed.groupBy(*SEQ_KEYS, "_bucket").agg(F.sum("_copies").alias("_in_bucket"))
-               .withColumn("_offset", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)))
-               .drop("_in_bucket"))
-    hot_numbered = (_join_null_safe(local, offsets, SEQ_KEYS + ["_bucket"], "inner")
-                    .withColumn("_upto", F.col("_upto") + F.col("_offset"))
-                    .drop("_offset", "_bucket"))
-
-    return _explode_copies(cold.unionByName(hot_numbered).drop("_hot"))
-
-
-def _explode_copies(df: DataFrame) -> DataFrame:
-    """One row per copy: sequence numbers ``_upto - _copies + 1 .. _upto``."""
-    return (df.withColumn("reject_seq",
-                          F.explode(F.sequence(F.col("_upto") - F.col("_copies") + 1,
-                                               F.col("_upto"))))
+    last = F.floor((F.col("_copies") - 1) / block)
+    blocks = (counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+              .withColumn("_copies", F.least(F.lit(block).cast("bigint"), F.col("_copies") - F.col("_block") * block)))
+    numbered = running_sum(blocks, SEQ_KEYS, [*ride_order(("start_time",)), F.col("_block").asc()], "_copies", "_upto")
+    return (numbered.withColumn("reject_seq",
+                                F.explode(F.sequence(F.col("_upto") - F.col("_copies") + 1, F.col("_upto"))))
             .withColumn("reject_seq", F.col("reject_seq").cast("int"))
-            .drop("_upto", "_copies"))
+            .drop("_upto", "_copies", "_block"))
 
 
 def quarantine_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OUTLIER_THRESHOLD,
@@ -306,7 +247,7 @@ def quarantine_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OU
     counted = _counted_rejects(src, threshold, dedup_scope)
     if dedup_scope != "period":
         counted = counted.where(in_period_by_start(period))
-    numbered = _number_copies(counted, HOT_GROUP_ROWS, HOT_BUCKETS)
+    numbered = _number_copies(counted, COPIES_A_BLOCK)
     out = numbered.select(
         LF.quarantine_id(F.col("order_id"), F.col("ride_id"), F.col("rejection_reason"),
                          F.col("reject_seq")).alias("quarantine_id"),

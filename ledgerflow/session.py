@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +72,13 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="ledgerflow-"))
 
 
+def store(df, tag: str):
+    """Write a frame to the shared folder under a name of its own and read it again."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def has_checkpoint_dir(spark: SparkSession) -> bool:
     sc = spark.sparkContext
     return bool(sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None))

@@ -1,11 +1,14 @@
-"""Quarantine numbering of hot (order, ride, reason) groups equals the plain window."""
+"""Numbering that is spread over tasks equals one sorted list, whatever the pieces."""
 
 from datetime import datetime, timedelta
-from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
 
 from ledgerflow import Period
 from ledgerflow import schemas as S
 from ledgerflow.operators import faults, staging
+from ledgerflow.operators.ranking import running_sum
 from ledgerflow.plans.context import FULL
 from ledgerflow.sources import adapter
 from tests import fixtures
@@ -15,29 +18,76 @@ def _ids(df):
     return sorted((r.quarantine_id, r.reject_seq) for r in df.collect())
 
 
-def test_bucketed_numbering_matches_window(spark, monkeypatch):
+@pytest.fixture()
+def many_pieces(spark):
+    """Ranges of a few rows: every shuffle has 50 partitions that stay apart."""
+    conf = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def hot_rides(spark):
     # one hot group: the same (null order, ride 7) with many distinct null-money rows,
-    # some sharing a start time, plus exact copies
+    # most sharing a start time, plus exact copies
     base = datetime(2026, 1, 3, 8, 0)
     rows = []
-    for i in range(40):
-        st = base + timedelta(minutes=(i // 3) * 7)
+    for i in range(60):
+        st = base + timedelta(minutes=(i // 20) * 7)
         rows.append((None, 7, 1, st, st + timedelta(minutes=5), 5 + i, 1.0, None, 0.24, None, None,
                      "EUR", None, None, "Tallinn", "Estonia"))
-    rows += rows[:5]
-    rides = spark.createDataFrame(rows, S.RIDES).unionByName(fixtures.rides(spark))
-    jan = Period.month(2026, 1)
-    plain = _ids(staging.quarantine_rides(rides, jan, with_seq=True))
-    monkeypatch.setattr(staging, "HOT_GROUP_ROWS", 3)
-    monkeypatch.setattr(staging, "HOT_BUCKETS", 4)
-    bucketed = _ids(staging.quarantine_rides(rides, jan, with_seq=True))
-    assert bucketed == plain
-    assert max(seq for _, seq in plain) == 45
-
-
-def test_bucketed_numbering_on_faulted_tables(spark, monkeypatch):
+    rows += rows[:5] + [rows[30]] * 300
+    return spark.createDataFrame(rows, S.RIDES)
+
+
+def expected_ids(rows):
+    """Numbers by one sort of all rows a group."""
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.order_id, r.ride_id, r.rejection_reason), []).append(r.reject_seq)
+    return {k: sorted(v) for k, v in groups.items()}
+
+
+def test_numbers_are_gapless_in_hot_groups(spark, many_pieces, monkeypatch):
+    monkeypatch.setattr(staging, "COPIES_A_BLOCK", 7)
+    rides = hot_rides(spark).unionByName(fixtures.rides(spark))
+    got = staging.quarantine_rides(rides, Period.month(2026, 1), with_seq=True).collect()
+    for seqs in expected_ids(got).values():
+        assert seqs == list(range(1, len(seqs) + 1))
+    hot = sorted((r.reject_seq, r.start_time, r.duration_min) for r in got if r.ride_id == 7 and r.order_id is None)
+    assert len(hot) == 365
+    assert [x[1:] for x in hot] == sorted(x[1:] for x in hot)
+    assert len({r.quarantine_id for r in got}) == len(got)
+
+
+def test_pieces_do_not_change_ids(spark, many_pieces, monkeypatch):
     rides = faults.inject_faults(adapter.adapter_rides(spark, "/root/testdata/sf0.001"),
                                  rates={"null": 0.05, "outlier": 0.05, "duplicate": 0.05})
-    plain = _ids(staging.quarantine_rides(rides, FULL, with_seq=True))
-    monkeypatch.setattr(staging, "HOT_GROUP_ROWS", 0)
-    assert _ids(staging.quarantine_rides(rides, FULL, with_seq=True)) == plain
+    spread = _ids(staging.quarantine_rides(rides, FULL, with_seq=True))
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    assert _ids(staging.quarantine_rides(rides, FULL, with_seq=True)) == spread
+
+
+def test_running_sum_equals_a_loop(spark, many_pieces):
+    rows = [(None if k % 3 == 0 else "g" * (k % 2), k * 37 % 101, k % 5) for k in range(101)]
+    df = spark.createDataFrame(rows, "g string, o int, v int")
+    got = {(r.g, r.o): r.s for r in running_sum(df, ["g"], [F.col("o").asc()], "v", "s").collect()}
+    total = {}
+    for g, o, v in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        total[g] = total.get(g, 0) + v
+        assert got[g, o] == total[g]
+    alone = running_sum(df, [], [F.col("o").asc()], "v", "s").orderBy("o").collect()
+    assert alone[-1].s == sum(r[2] for r in rows)
+
+
+def test_faults_pick_among_equal_keys_without_collecting_them(spark, many_pieces):
+    # all rows share one key, so one hash: 366 picks must come from content and copies alone
+    rides = hot_rides(spark)
+    marked = faults.mark_picks(rides, 0.5, "1-x")
+    hits = marked.where("_hit").select(*rides.columns).collect()
+    assert len(hits) == 365 // 2 and marked.count() == 365
+    order = sorted((r.start_time, r.scooter_id, r.end_time, r.duration_min) for r in rides.collect())
+    assert sorted((r.start_time, r.scooter_id, r.end_time, r.duration_min) for r in hits) == order[:365 // 2]
