@@ -16,6 +16,8 @@ independent, so repeated rows give repeated results; extra columns are kept out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,22 +91,40 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it stands there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _sums(parts: Column, step: Callable[[Column], Column]) -> Column:
+    """Before each part the sum of the steps of those before it; for a short array, as it is copied at each."""
+    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    return F.aggregate(parts, state, lambda s, p: F.struct(
+        (s["at"] + step(p)).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+
+def _placed(matches: Column) -> Column:
+    """Matches with their start, summed in blocks of about the root of their number: n matches take n * sqrt(n) steps."""
+    width = F.ceil(F.sqrt(F.size(matches))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(matches) / width).cast("int") - 1),
+                         lambda b: F.slice(matches, b * width + 1, width))
+
+    def start(block: Column, offset: Column) -> Column:
+        return F.zip_with(block, _sums(block, lambda m: m["step"]), lambda m, at: F.struct(
+            m["value"].alias("value"), (offset + at + m["gap"]).alias("start"), m["before"].alias("before")))
+
+    totals = lambda block: F.aggregate(block, F.lit(0).cast("bigint"), lambda n, m: n + m["step"])
+    return _bound(blocks, lambda bs: F.flatten(F.zip_with(bs, _sums(bs, totals), start)))
+
+
 def _spans(text: Column, kind: str) -> Column:
     """array<struct<start, kind_no, kind, end, score>> of the valid matches of one kind."""
     found = F.regexp_extract_all(text, F.lit(PATTERN[kind]), F.lit(0))
-    between = F.split(text, PATTERN[kind], -1)
-    empty = F.array().cast("array<struct<value:string,start:bigint,before:string>>")
-    start_state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(0).alias("i"), empty.alias("spans"))
-
-    def place(state: Column, value: Column) -> Column:
-        piece = F.element_at(between, state["i"] + 1)
-        start = state["at"] + F.length(piece)
-        span = F.struct(value.alias("value"), start.alias("start"),
-                        F.right(piece, F.lit(CONTEXT_CHARS)).alias("before"))
-        return F.struct((start + F.length(value)).alias("at"), (state["i"] + 1).alias("i"),
-                        F.concat(state["spans"], F.array(span)).alias("spans"))
-
-    placed = F.aggregate(found, start_state, place, lambda s: s["spans"])
+    between = F.slice(F.split(text, PATTERN[kind], -1), F.lit(1), F.size(found))
+    placed = _bound(F.zip_with(found, between, lambda value, piece: F.struct(
+        value.alias("value"), F.length(piece).cast("bigint").alias("gap"),
+        (F.length(piece) + F.length(value)).cast("bigint").alias("step"),
+        F.right(piece, F.lit(CONTEXT_CHARS)).alias("before"))), _placed)
     valid = F.filter(placed, lambda s: _valid(kind, s["value"]))
 
     def scored(s: Column) -> Column:
