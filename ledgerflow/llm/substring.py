@@ -15,7 +15,7 @@ searched there in the same way.
 
 Defined cases: null texts have no words; documents shorter than a window lose nothing; texts
 of any length are read whole; rows that share an id are one document with regard to order, and
-none removes words of the other; a null id neither removes nor loses words; an empty
+none removes words of the other, each is judged by its own text; a null id neither removes nor loses words; an empty
 table gives an empty table; extra columns are kept out.
 """
 
@@ -68,33 +68,35 @@ def _words(texts) -> list[list[bytes]]:
 
 
 def segments(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, start, windows, route, content) of every segment of whole documents."""
-    names = ["doc_id", "start", "windows", "route", "content"]
+    """(doc_id, text_key, start, windows, route, content) of every segment of whole documents."""
+    names = ["doc_id", "text_key", "start", "windows", "route", "content"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, parts = [], []
-            for doc, words in zip(batch.column(0).to_pylist(), _words(batch.column(1))):
+            ids, keys, parts = [], [], []
+            for doc, words, key in zip(batch.column(0).to_pylist(), _words(batch.column(1)), batch.column(2).to_pylist()):
                 part = cut_segments(words, window)
                 if len(part[0]):
                     ids.append(np.full(len(part[0]), doc))
+                    keys.append(np.full(len(part[0]), key))
                     parts.append(part)
             if parts:
                 columns = [np.concatenate(c) for c in zip(*parts)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(ids)), pa.array(columns[0].astype(np.int32)),
+                    [pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys)), pa.array(columns[0].astype(np.int32)),
                      pa.array(columns[1].astype(np.int32)), pa.array(columns[2]), pa.array(columns[3])], names)
 
-    return docs.filter("doc_id is not null and text is not null").mapInArrow(
-        scan, "doc_id long, start int, windows int, route long, content long")
+    return docs.filter("doc_id is not null and text is not null").select("doc_id", "text", "text_key").mapInArrow(
+        scan, "doc_id long, text_key long, start int, windows int, route long, content long")
 
 
 def segment_texts(docs: DataFrame, wanted: DataFrame, window: int, single_windows: bool) -> DataFrame:
-    """Words of the wanted segments (doc_id, parts: route, content, start, windows).
+    """Words of the wanted segments (doc_id, text_key, parts: route, content, start, windows).
 
-    ``single_windows``: each window on its own, routed and keyed by its whole content.
+    ``single_windows``: each window on its own, routed and keyed by its whole content; ``home`` is the
+    route of its segment.
     """
-    names = ["route", "content", "at", "doc_id", "words"]
+    names = ["route", "content", "at", "doc_id", "words", "home"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,18 +107,18 @@ def segment_texts(docs: DataFrame, wanted: DataFrame, window: int, single_window
                 for p in parts:
                     s, n = p["start"], p["windows"]
                     if single_windows:
-                        rows += [(int(whole[k]), p["content"], k - s, doc, b" ".join(words[k:k + window]))
+                        rows += [(int(whole[k]), p["content"], k - s, doc, b" ".join(words[k:k + window]), p["route"])
                                  for k in range(s, s + n)]
                     else:
-                        rows.append((p["route"], p["content"], 0, doc, b" ".join(words[s:s + n + window - 1])))
+                        rows.append((p["route"], p["content"], 0, doc, b" ".join(words[s:s + n + window - 1]), p["route"]))
                 if rows:
-                    r, c, a, d, w = zip(*rows)
+                    r, c, a, d, w, o = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(r, pa.int64()), pa.array(c, pa.int64()), pa.array(a, pa.int32()),
-                         pa.array(d, pa.int64()), pa.array(w, pa.binary())], names)
+                         pa.array(d, pa.int64()), pa.array(w, pa.binary()), pa.array(o, pa.int64())], names)
 
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "parts").mapInArrow(
-        read, "route long, content long, at int, doc_id long, words binary")
+    return docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text", "parts").mapInArrow(
+        read, "route long, content long, at int, doc_id long, words binary, home long")
 
 
 def search_shards(texts: DataFrame, shards: int, window: int) -> DataFrame:
@@ -143,23 +145,26 @@ def search_shards(texts: DataFrame, shards: int, window: int) -> DataFrame:
 
 
 def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, spans): word intervals [from, to) of each document that an earlier one repeats."""
+    """(doc_id, text_key, spans): word intervals [from, to) of each text that an earlier document repeats.
+
+    ``docs`` has doc_id, text and text_key, a hash of the text: a row is known by its id and text.
+    """
     found = stash(segments(docs, window), "substring-segments")
     entries = stash(found.groupBy("route", "content").agg(
-        F.min(F.struct("doc_id", "start", "windows")).alias("first"), F.max("doc_id").alias("last")), "substring-entries")
+        F.min(F.struct("doc_id", "text_key", "start", "windows")).alias("first"), F.max("doc_id").alias("last")), "substring-entries")
     routes = (entries.groupBy("route").agg(F.min("first.doc_id").alias("lo"), F.max("last").alias("hi"),
                                            F.count(F.lit(1)).alias("n")).filter("lo < hi").select("route", "n"))
     wanted = stash(entries.join(routes, "route").select("route", "content", "first.*", "n"), "substring-wanted")
     part = F.struct("route", "content", "start", "windows")
 
     def searched(which: DataFrame, words: int) -> DataFrame:
-        asked = which.groupBy("doc_id").agg(F.collect_list(part).alias("parts"))
+        asked = which.groupBy("doc_id", "text_key").agg(F.collect_list(part).alias("parts"))
         texts = segment_texts(docs, asked, window, False)
         return search_shards(texts, max(1, math.ceil(words / SHARD_WORDS)), window)
 
     def searched_windows(which: DataFrame) -> DataFrame:
         """As ``searched``, window by window: of equal windows one goes to a shard, with their smallest document."""
-        asked = which.groupBy("doc_id").agg(F.collect_list(part).alias("parts"))
+        asked = which.groupBy("doc_id", "text_key").agg(F.collect_list(part).alias("parts"))
         key = ["route", "second"]
         texts = stash(segment_texts(docs, asked, window, True).withColumn("second", F.xxhash64("words")), "substring-windows")
         one = stash(texts.groupBy(*key).agg(F.min(F.struct("doc_id", "words")).alias("one"), F.count(F.lit(1)).alias("n"))
@@ -168,9 +173,9 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         runs = search_shards(one.select("route", F.col("second").alias("content"), F.lit(0).alias("at"), "doc_id", "words"),
                              max(1, math.ceil(one.count() * window / SHARD_WORDS)), window)
         runs = runs.select("route", F.col("content").alias("second"), "runs")
-        places = texts.select(*key, "content", "at")
+        places = texts.select(*key, "home", "content", "at")
         return spread_join(places, runs, hot_keys(one, key, "n"), key, F.struct("content", "at")).select(
-            "route", "content", "at", "runs")
+            F.col("home").alias("route"), "content", "at", "runs")
 
     hot = F.col("n") > HOT_ENTRIES
     sizes = wanted.agg(F.sum(F.when(~hot, F.col("windows") + window - 1)).alias("cold"),
@@ -178,13 +183,13 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     runs = searched(wanted.filter(~hot), sizes["cold"] or 0)
     if sizes["hot"]:
         runs = runs.unionByName(searched_windows(wanted.filter(hot)))
-    runs = stash(runs.select("content", "at", "runs"), "substring-runs")
+    runs = stash(runs.select("route", "content", "at", "runs"), "substring-runs")
     lost = F.filter("runs", lambda r: r["doc"] < F.col("doc_id"))
     spans = F.transform(lost, lambda r: F.struct((F.col("start") + F.col("at") + r["from"]).alias("from"),
                                                  (F.col("start") + F.col("at") + r["to"] + (window - 1)).alias("to")))
-    return (found.select("doc_id", "start", "content").join(runs, "content")
-            .select("doc_id", spans.alias("spans")).filter(F.size("spans") > 0)
-            .groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    return (found.select("doc_id", "text_key", "start", "route", "content").join(runs, ["route", "content"])
+            .select("doc_id", "text_key", spans.alias("spans")).filter(F.size("spans") > 0)
+            .groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
 
 def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -199,8 +204,9 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, window: int, with_text: bool) -> DataFrame:
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    spans = repeated_intervals(docs, window).withColumnRenamed("doc_id", "hit")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("text_key"))
+    spans = repeated_intervals(docs, window).withColumnsRenamed({"doc_id": "hit", "text_key": "hit_key"})
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,6 +229,6 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, window: int, with_text
                 [batch.column(0), pa.array(totals, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
                 + [pa.array(kept, pa.string())] * with_text, names)
 
-    joined = docs.join(spans, docs["doc_id"] == spans["hit"], "left").select("doc_id", "text", "spans")
+    joined = docs.join(spans, (docs["doc_id"] == spans["hit"]) & (docs["text_key"] == spans["hit_key"]), "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(drop, "doc_id long, n_words long, n_removed long, kept_sha256 string"
                              + ", kept string" * with_text)
