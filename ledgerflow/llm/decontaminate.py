@@ -16,7 +16,9 @@ benchmark) keeps hopeless windows out of the join; the join itself decides.
 
 Defined cases: null or empty texts have no windows; the windows of items of fewer than 16 tokens
 are half as long as the item, so that one break leaves a whole one, and at least ``MIN_TOKENS``;
-windows with fewer than ``MIN_PLAIN`` plain tokens must be equal word for word; items under ``MIN_TOKENS`` tokens name no passage and are left out; a repeated document row gives one result per id; a null id is an id like any other; extra
+windows with fewer than ``MIN_PLAIN`` plain tokens must be equal word for word; items under ``MIN_TOKENS``
+tokens are one window and found where all their words stand, values included; items without a word
+are nowhere; a repeated document row gives one result per id; a null id is an id like any other; extra
 columns are kept out.
 """
 
@@ -183,8 +185,11 @@ def windows(doc, token, kind, maybe, exact, size: int) -> tuple[np.ndarray, np.n
 
 
 def seed_size(n_tokens: np.ndarray, window: int) -> np.ndarray:
-    """Window size of an item: with one word put in, left out or changed, one side still holds a window."""
-    return np.minimum(window, np.maximum(MIN_TOKENS, n_tokens // 2))
+    """Window size of an item: with one word put in, left out or changed, one side still holds a window.
+
+    Items under MIN_TOKENS tokens are one window.
+    """
+    return np.minimum(window, np.maximum(np.minimum(MIN_TOKENS, n_tokens), n_tokens // 2))
 
 
 def _slices(texts, docs_a_step: int = 256):
@@ -204,7 +209,7 @@ def item_windows(rows: DataFrame, id_col: str, text_col: str, window: int) -> Da
             ids = batch.column(0).to_pylist()
             for k, doc, token, kind, maybe, exact, _, begin, length in _slices(batch.column(1).to_pylist()):
                 wanted = seed_size(length, window)
-                for size in np.unique(wanted):
+                for size in np.unique(wanted[wanted > 0]):
                     at, h = windows(doc, token, kind, maybe, exact, int(size))
                     ok = wanted[doc[at]] == size
                     at, h = at[ok], h[ok]
@@ -336,6 +341,8 @@ def best_chain(item: Text, part: Text, seeds: list[tuple[int, int, int]], min_co
     found = []
 
     def judge(total, longest, pairs):
+        if n < MIN_TOKENS and any(t != o for t, o in pairs):
+            return
         if total >= max(min_coverage * n, min(n, MIN_HELD)) or longest >= RUN_TOKENS:
             found.append((round(total / n, 6), all(t == o for t, o in pairs), len(pairs)))
 
