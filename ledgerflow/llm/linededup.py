@@ -3,11 +3,11 @@
 DataFrame functions only. Every line hash gets a HyperLogLog sketch of its
 sites, merged by aggregation; lines whose estimate is near the threshold get an
 exact distinct count, so the decision equals that of exact counts. Lines on at
-least ``min_sites`` sites are removed wherever they occur.
+least ``min_sites`` sites are removed wherever they occur, without exception.
 
-A document whose text would shrink by more than ``max_share`` of its
-characters is kept as it is: its lines are shared because the document is a
-copy, which near-duplicate removal has to settle.
+Identical texts are one document on several sites, not boilerplate of several
+documents: a line also has to stand in ``min_sites`` different texts, counted
+in the same way.
 
 Defined cases: null text stays null; lines are compared without the blanks
 around them, blank lines are never removed; a null site counts as no site; rows
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import hot_keys, spread_join, stash
 
 MIN_SITES = 10
-MAX_SHARE = 0.5
 # The sketches have 2**LOG_K registers: a standard error of 1.6 %. Estimates within NEAR of the
 # threshold (15 standard errors) are counted exactly.
 LOG_K = 12
@@ -43,31 +42,37 @@ def _key(line: Column) -> Column:
 
 def likely_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source",
                  min_sites: int = MIN_SITES) -> DataFrame:
-    """(key, estimate, n): lines that by their sketch may be on ``min_sites`` sites, and how often they occur."""
+    """(key, sites, texts, n): lines that by their sketches may be on ``min_sites`` sites and in as many
+    different texts, and how often they occur."""
+    sketch = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(c, LOG_K))
     sketched = _sites(docs, text_col, site_col).groupBy("key").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", LOG_K)).alias("estimate"), F.count(F.lit(1)).alias("n"))
-    return stash(sketched.filter(F.col("estimate") >= min_sites * (1 - NEAR)), "likely-lines")
+        sketch("site").alias("sites"), sketch("whole").alias("texts"), F.count(F.lit(1)).alias("n"))
+    return stash(sketched.filter(F.least("sites", "texts") >= min_sites * (1 - NEAR)), "likely-lines")
 
 
 def _sites(docs: DataFrame, text_col: str, site_col: str) -> DataFrame:
-    """(site, key) of every line that is not blank."""
-    return (docs.select(F.col(site_col).cast("string").alias("site"), F.explode(_lines(F.col(text_col))).alias("line"))
-            .filter("trim(line) <> ''").select("site", _key(F.col("line")).alias("key")))
+    """(site, whole, key) of every line that is not blank; ``whole`` stands for the text it is in."""
+    return (docs.select(F.col(site_col).cast("string").alias("site"), F.xxhash64(text_col).alias("whole"),
+                        F.explode(_lines(F.col(text_col))).alias("line"))
+            .filter("trim(line) <> ''").select("site", "whole", _key(F.col("line")).alias("key")))
 
 
 def common_lines(docs: DataFrame, likely: DataFrame, text_col: str = "text", site_col: str = "source",
                  min_sites: int = MIN_SITES) -> DataFrame:
-    """(key, sites): those of the ``likely`` lines that at least ``min_sites`` distinct sites carry."""
-    near = likely.filter(F.col("estimate") <= min_sites * (1 + NEAR)).select("key")
-    exact = (_sites(docs, text_col, site_col).filter("site is not null").join(near, "key", "left_semi").distinct()
-             .groupBy("key").agg(F.count(F.lit(1)).alias("sites")).filter(F.col("sites") >= min_sites))
-    far = likely.filter(F.col("estimate") > min_sites * (1 + NEAR))
-    return far.select("key", F.col("estimate").alias("sites")).unionByName(exact)
+    """(key, sites): those of the ``likely`` lines that reach both counts."""
+    sure = F.least("sites", "texts") > min_sites * (1 + NEAR)
+    near = _sites(docs, text_col, site_col).join(likely.filter(~sure).select("key"), "key", "left_semi")
+
+    def exact(what: str) -> DataFrame:
+        return (near.filter(F.col(what).isNotNull()).select("key", what).distinct().groupBy("key")
+                .agg(F.count(F.lit(1)).alias(f"{what}s")).filter(F.col(f"{what}s") >= min_sites))
+
+    counted = exact("site").join(exact("whole").select("key"), "key", "left_semi")
+    return likely.filter(sure).select("key", "sites").unionByName(counted.select("key", "sites"))
 
 
 def remove_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        site_col: str = "source", min_sites: int = MIN_SITES,
-                        max_share: float = MAX_SHARE) -> DataFrame:
+                        site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """The columns of ``docs``, ``text`` without common lines, then ``n_lines`` and ``n_removed``."""
     likely = likely_lines(docs, text_col, site_col, min_sites)
     common = common_lines(docs, likely, text_col, site_col, min_sites).select("key")
@@ -80,12 +85,11 @@ def remove_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     joined = docs.select(*columns).join(by_doc, F.col(id_col).eqNullSafe(F.col("__id")), "left")
     text = F.col(text_col)
     is_common = lambda line: F.array_contains(F.col("__common"), _key(line))
-    removed = F.filter(_lines(text), is_common)
-    lost = F.aggregate(removed, F.lit(0), lambda n, line: n + F.length(line))
-    applies = F.col("__common").isNotNull() & (lost <= max_share * F.length(text))
-    kept = F.array_join(F.filter(_lines(text), lambda line: ~is_common(line)), "\n")
-    out = joined.withColumn("__applies", F.coalesce(applies, F.lit(False)))
+    kept = F.filter(_lines(text), lambda line: ~is_common(line))
+    applies = F.col("__common").isNotNull()
+    out = joined.withColumn("__lines", F.when(applies, kept))
     return out.select(
-        *[F.when(F.col("__applies"), kept).otherwise(text).alias(c) if c == text_col else F.col(c) for c in columns],
+        *[F.when(applies, F.array_join("__lines", "\n")).otherwise(text).alias(c) if c == text_col else F.col(c)
+          for c in columns],
         F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("long").alias("n_lines"),
-        F.when(F.col("__applies"), F.size(removed)).otherwise(0).cast("long").alias("n_removed"))
+        F.when(applies, F.size(_lines(text)) - F.size("__lines")).otherwise(0).cast("long").alias("n_removed"))

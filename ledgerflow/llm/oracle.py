@@ -54,17 +54,15 @@ WITH l AS (
          unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
 common AS (
   SELECT trim(line, ' ') AS line FROM l WHERE trim(line, ' ') <> '' GROUP BY 1
-  HAVING count(DISTINCT source) >= {linededup.MIN_SITES}),
+  HAVING count(DISTINCT source) >= {linededup.MIN_SITES} AND count(DISTINCT text) >= {linededup.MIN_SITES}),
 marked AS (
   SELECT l.*, c.line IS NOT NULL AS is_common FROM l LEFT JOIN common c ON trim(l.line, ' ') = c.line),
 per AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (is_common) AS hits,
-         coalesce(sum(length(line)) FILTER (is_common), 0) AS lost, max(length(text)) AS size,
          coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT is_common), '') AS rest
   FROM marked GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN hits > 0 AND lost <= {linededup.MAX_SHARE} * size THEN rest ELSE d.text END AS text,
-       coalesce(n_lines, 0) AS n_lines,
-       CASE WHEN hits > 0 AND lost <= {linededup.MAX_SHARE} * size THEN hits ELSE 0 END AS n_removed
+SELECT d.doc_id, CASE WHEN hits > 0 THEN rest ELSE d.text END AS text,
+       coalesce(n_lines, 0) AS n_lines, coalesce(hits, 0) AS n_removed
 FROM documents d LEFT JOIN per USING (doc_id)
 """
 
