@@ -14,21 +14,29 @@ from ledgerflow.llm import decontaminate, langid, linededup, neardup, packing
 from ledgerflow.llm.common import read_table, stash
 
 
+def apart(docs: DataFrame, added: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with private names for columns that an operator adds too, and the name of each column there."""
+    names = {c: f"__own_{c}" if c in added else c for c in docs.columns}
+    return docs.withColumnsRenamed(names), names
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognisable language; ``lang`` becomes the predicted one.
 
     Rejected are texts without letters and texts that share no n-gram with any profile.
     """
-    found = langid.identify_language(docs)
+    own, names = apart(docs, ("lang_pred", "score"))
+    found = langid.identify_language(own)
     kept = found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") > 0))
-    return kept.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+    return kept.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(n).alias(c) for c, n in names.items()])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without cross-site boilerplate lines; ``n_chars`` follows the text."""
-    cleaned = linededup.remove_common_lines(docs)
-    return cleaned.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(c)
-                            for c in docs.columns])
+    own, names = apart(docs, ("n_lines", "n_removed"))
+    cleaned = linededup.remove_common_lines(own)
+    return cleaned.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(n).alias(c)
+                            for c, n in names.items()])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
