@@ -93,10 +93,9 @@ def segments(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def segment_texts(docs: DataFrame, wanted: DataFrame, window: int, single_windows: bool) -> DataFrame:
     """Words of the wanted segments (doc_id, text_key, parts: route, content, start, windows).
 
-    ``single_windows``: each window on its own, routed and keyed by its whole content; ``home`` is the
-    route of its segment.
+    ``single_windows``: each window on its own, routed and keyed by its whole content.
     """
-    names = ["route", "content", "at", "doc_id", "words", "home"]
+    names = ["route", "content", "at", "doc_id", "words"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,18 +106,18 @@ def segment_texts(docs: DataFrame, wanted: DataFrame, window: int, single_window
                 for p in parts:
                     s, n = p["start"], p["windows"]
                     if single_windows:
-                        rows += [(int(whole[k]), p["content"], k - s, doc, b" ".join(words[k:k + window]), p["route"])
+                        rows += [(int(whole[k]), p["content"], k - s, doc, b" ".join(words[k:k + window]))
                                  for k in range(s, s + n)]
                     else:
-                        rows.append((p["route"], p["content"], 0, doc, b" ".join(words[s:s + n + window - 1]), p["route"]))
+                        rows.append((p["route"], p["content"], 0, doc, b" ".join(words[s:s + n + window - 1])))
                 if rows:
-                    r, c, a, d, w, o = zip(*rows)
+                    r, c, a, d, w = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(r, pa.int64()), pa.array(c, pa.int64()), pa.array(a, pa.int32()),
-                         pa.array(d, pa.int64()), pa.array(w, pa.binary()), pa.array(o, pa.int64())], names)
+                         pa.array(d, pa.int64()), pa.array(w, pa.binary())], names)
 
     return docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text", "parts").mapInArrow(
-        read, "route long, content long, at int, doc_id long, words binary, home long")
+        read, "route long, content long, at int, doc_id long, words binary")
 
 
 def search_shards(texts: DataFrame, shards: int, window: int) -> DataFrame:
@@ -147,7 +146,7 @@ def search_shards(texts: DataFrame, shards: int, window: int) -> DataFrame:
 def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text_key, spans): word intervals [from, to) of each text that an earlier document repeats.
 
-    ``docs`` has doc_id, text and text_key, a hash of the text: a row is known by its id and text.
+    ``docs`` has doc_id, text and text_key: a row is known by its id and key.
     """
     found = stash(segments(docs, window), "substring-segments")
     entries = stash(found.groupBy("route", "content").agg(
@@ -173,9 +172,9 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         runs = search_shards(one.select("route", F.col("second").alias("content"), F.lit(0).alias("at"), "doc_id", "words"),
                              max(1, math.ceil(one.count() * window / SHARD_WORDS)), window)
         runs = runs.select("route", F.col("content").alias("second"), "runs")
-        places = texts.select(*key, "home", "content", "at")
+        places = texts.select(*key, "content", "at")
         return spread_join(places, runs, hot_keys(one, key, "n"), key, F.struct("content", "at")).select(
-            F.col("home").alias("route"), "content", "at", "runs")
+            "route", "content", "at", "runs")
 
     hot = F.col("n") > HOT_ENTRIES
     sizes = wanted.agg(F.sum(F.when(~hot, F.col("windows") + window - 1)).alias("cold"),
@@ -183,11 +182,11 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     runs = searched(wanted.filter(~hot), sizes["cold"] or 0)
     if sizes["hot"]:
         runs = runs.unionByName(searched_windows(wanted.filter(hot)))
-    runs = stash(runs.select("route", "content", "at", "runs"), "substring-runs")
+    runs = stash(runs.select("content", "at", "runs"), "substring-runs")
     lost = F.filter("runs", lambda r: r["doc"] < F.col("doc_id"))
     spans = F.transform(lost, lambda r: F.struct((F.col("start") + F.col("at") + r["from"]).alias("from"),
                                                  (F.col("start") + F.col("at") + r["to"] + (window - 1)).alias("to")))
-    return (found.select("doc_id", "text_key", "start", "route", "content").join(runs, ["route", "content"])
+    return (found.select("doc_id", "text_key", "start", "content").join(runs, "content")
             .select("doc_id", "text_key", spans.alias("spans")).filter(F.size("spans") > 0)
             .groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
@@ -204,8 +203,10 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, window: int, with_text: bool) -> DataFrame:
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.xxhash64(text_col).alias("text_key"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # Where ids repeat, a row is known by its id and a hash of its text, else by its id alone.
+    unique = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty()
+    docs = docs.withColumn("text_key", F.lit(0).cast("long") if unique else F.xxhash64("text"))
     spans = repeated_intervals(docs, window).withColumnsRenamed({"doc_id": "hit", "text_key": "hit_key"})
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text
 
