@@ -90,34 +90,36 @@ def segments(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         scan, "doc_id long, text_key long, start int, windows int, route long, content long")
 
 
-def segment_texts(docs: DataFrame, wanted: DataFrame, window: int, single_windows: bool) -> DataFrame:
-    """Words of the wanted segments (doc_id, text_key, parts: route, content, start, windows).
+def segment_texts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """Words of the wanted segments (doc_id, text_key, parts: route, content, start, windows, single).
 
-    ``single_windows``: each window on its own, routed and keyed by its whole content.
+    ``single``: each window on its own, routed and keyed by its whole content.
     """
-    names = ["route", "content", "at", "doc_id", "words"]
+    names = ["single", "route", "content", "at", "doc_id", "words"]
+    types = [pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = []
             for doc, words, parts in zip(batch.column(0).to_pylist(), _words(batch.column(1)),
                                          batch.column(2).to_pylist()):
-                rows = []
-                whole = mixed(gram_hashes(word_hashes().of(words), window), 5).view(np.int64) if single_windows else None
                 for p in parts:
                     s, n = p["start"], p["windows"]
-                    if single_windows:
-                        rows += [(int(whole[k]), p["content"], k - s, doc, b" ".join(words[k:k + window]))
-                                 for k in range(s, s + n)]
+                    piece = words[s:s + n + window - 1]
+                    if p["single"]:
+                        whole = mixed(gram_hashes(word_hashes().of(piece), window), 5).view(np.int64).tolist()
+                        rows += [(True, whole[k], p["content"], k, doc, b" ".join(piece[k:k + window]))
+                                 for k in range(n)]
                     else:
-                        rows.append((p["route"], p["content"], 0, doc, b" ".join(words[s:s + n + window - 1])))
-                if rows:
-                    r, c, a, d, w = zip(*rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(r, pa.int64()), pa.array(c, pa.int64()), pa.array(a, pa.int32()),
-                         pa.array(d, pa.int64()), pa.array(w, pa.binary())], names)
+                        rows.append((False, p["route"], p["content"], 0, doc, b" ".join(piece)))
+                    if len(rows) >= 4096:
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), types)), names)
+                        rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), types)), names)
 
     return docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text", "parts").mapInArrow(
-        read, "route long, content long, at int, doc_id long, words binary")
+        read, "single boolean, route long, content long, at int, doc_id long, words binary")
 
 
 def search_shards(texts: DataFrame, shards: int, window: int) -> DataFrame:
@@ -154,18 +156,20 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     routes = (entries.groupBy("route").agg(F.min("first.doc_id").alias("lo"), F.max("last").alias("hi"),
                                            F.count(F.lit(1)).alias("n")).filter("lo < hi").select("route", "n"))
     wanted = stash(entries.join(routes, "route").select("route", "content", "first.*", "n"), "substring-wanted")
-    part = F.struct("route", "content", "start", "windows")
-
-    def searched(which: DataFrame, words: int) -> DataFrame:
-        asked = which.groupBy("doc_id", "text_key").agg(F.collect_list(part).alias("parts"))
-        texts = segment_texts(docs, asked, window, False)
-        return search_shards(texts, max(1, math.ceil(words / SHARD_WORDS)), window)
+    hot = F.col("n") > HOT_ENTRIES
+    sizes = wanted.agg(F.sum(F.when(~hot, F.col("windows") + window - 1)).alias("cold"),
+                       F.max(hot).alias("hot")).first()
+    # The whole texts are shuffled once, for the segments and the single windows together.
+    part = F.struct("route", "content", "start", "windows", hot.alias("single"))
+    asked = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(part).alias("parts"))
+    texts = segment_texts(docs, asked, window)
+    if sizes["hot"]:
+        texts = stash(texts, "substring-texts")
+    runs = search_shards(texts.filter("not single"), max(1, math.ceil((sizes["cold"] or 0) / SHARD_WORDS)), window)
 
-    def searched_windows(which: DataFrame) -> DataFrame:
-        """As ``searched``, window by window: of equal windows one goes to a shard, with their smallest document."""
-        asked = which.groupBy("doc_id", "text_key").agg(F.collect_list(part).alias("parts"))
+    def searched_windows(texts: DataFrame) -> DataFrame:
+        """Of equal windows one goes to a shard, with their smallest document."""
         key = ["route", "second"]
-        texts = stash(segment_texts(docs, asked, window, True).withColumn("second", F.xxhash64("words")), "substring-windows")
         one = stash(texts.groupBy(*key).agg(F.min(F.struct("doc_id", "words")).alias("one"), F.count(F.lit(1)).alias("n"))
                     .select(*key, "one.*", "n"), "substring-distinct")
         # ``content`` is the second half of the key here.
@@ -176,12 +180,8 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return spread_join(places, runs, hot_keys(one, key, "n"), key, F.struct("content", "at")).select(
             "route", "content", "at", "runs")
 
-    hot = F.col("n") > HOT_ENTRIES
-    sizes = wanted.agg(F.sum(F.when(~hot, F.col("windows") + window - 1)).alias("cold"),
-                       F.sum(F.when(hot, F.col("windows").cast("long"))).alias("hot")).first()
-    runs = searched(wanted.filter(~hot), sizes["cold"] or 0)
     if sizes["hot"]:
-        runs = runs.unionByName(searched_windows(wanted.filter(hot)))
+        runs = runs.unionByName(searched_windows(texts.filter("single").withColumn("second", F.xxhash64("words"))))
     runs = stash(runs.select("content", "at", "runs"), "substring-runs")
     lost = F.filter("runs", lambda r: r["doc"] < F.col("doc_id"))
     spans = F.transform(lost, lambda r: F.struct((F.col("start") + F.col("at") + r["from"]).alias("from"),
