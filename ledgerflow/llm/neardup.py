@@ -14,7 +14,8 @@ With ``BANDS`` bands of ``ROWS`` values a pair at similarity 0.75 is proposed wi
 
 Defined cases: A-Z count as lower case, other letters as they are; fewer than five words are one
 shingle; null texts and texts without words have an empty set and no links; texts of any length
-are hashed whole; rows that share an id are one document; a null id is linked with nothing and
+are hashed whole; rows that share an id are one document: each of their texts has its own set, and what
+links one links all; a null id is linked with nothing and
 kept; repeated rows give repeated results; an empty table gives an empty table; input columns
 named like the results give way.
 """
@@ -71,9 +72,9 @@ def minhash(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray], block:
     return out
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, sig, bands): set size, 128-bit set key, a byte a value, band keys."""
-    names = ["doc_id", "n_shingles", "k1", "k2", "sig", "bands"]
+def signatures(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n_shingles, k1, k2, sig, bands): set size, 128-bit set key, a byte a value, band keys."""
+    names = ["doc_id", "text_key", "n_shingles", "k1", "k2", "sig", "bands"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = _family()
@@ -96,12 +97,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, j])
                 bands.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
                  pa.array(sigs, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64()))], names)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, k1 long, k2 long, sig binary, bands array<long>")
+    return docs.select("doc_id", "text", "text_key").mapInArrow(
+        sign, "doc_id long, text_key long, n_shingles long, k1 long, k2 long, sig binary, bands array<long>")
 
 
 def fewest_matches(threshold: float, miss: float, total: int, batch: int) -> list[tuple[int, int]]:
@@ -246,14 +247,41 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("id", "label")
 
 
+def same_id_links(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): classes that hold a text of one id, each with the id's smallest class."""
+    key = F.struct("k1", "k2")
+    several = (usable.groupBy("doc_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).filter("lo <> hi")
+               .select("doc_id", F.col("lo.k1").alias("l1"), F.col("lo.k2").alias("l2")))
+    rows = usable.select("doc_id", "k1", "k2").distinct()
+    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    pairs = spread_join(rows, several, hot_keys(ids, ["doc_id"], "n"), ["doc_id"], F.col("k1")).filter(
+        "k1 <> l1 or k2 <> l2").select("k1", "k2", "l1", "l2").distinct()
+    pairs = stash(pairs, "near-same-id")
+    named = spread_join(pairs, classes.select("k1", "k2", F.col("node").alias("b")), hot_keys(
+        pairs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")), ["k1", "k2"], "n"), ["k1", "k2"], F.col("l1"))
+    lowest = classes.select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), F.col("node").alias("a"))
+    named = spread_join(named, lowest, hot_keys(
+        pairs.groupBy("l1", "l2").agg(F.count(F.lit(1)).alias("n")), ["l1", "l2"], "n"), ["l1", "l2"], F.col("b"))
+    return named.select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
-    signed = stash(signatures(docs, id_col, text_col), "near-signatures")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # Where ids repeat, a row is known by its id and a hash of its text, else by its id alone.
+    unique = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty()
+    docs = docs.withColumn("text_key", F.lit(0).cast("long") if unique else F.xxhash64("text"))
+    signed = stash(signatures(docs), "near-signatures")
     usable = signed.filter("doc_id is not null and n_shingles > 0")
-    classes = stash(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")),
-                    "near-classes")
-    reps = stash(usable.join(classes.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
-                 .dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sig", "bands"), "near-reps")
+    # A class goes by the smallest of its ids, or by a number where several classes may share that.
+    node = F.col("first.doc_id") if unique else F.monotonically_increasing_id()
+    classes = stash(usable.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "text_key")).alias("first"),
+                                                   F.count(F.lit(1)).alias("n"))
+                    .select("k1", "k2", node.alias("node"), F.col("first.doc_id").alias("rep"),
+                            F.col("first.text_key").alias("rep_key"), "n"), "near-classes")
+    is_rep = (F.col("doc_id") == F.col("rep")) & (F.col("text_key") == F.col("rep_key"))
+    reps = stash(usable.drop("k1", "k2").join(classes.select("node", "rep", "rep_key"), is_rep).dropDuplicates(["node"])
+                 .select(F.col("node").alias("doc_id"), "n_shingles", "sig", "bands"), "near-reps")
     bucketed = reps.select("doc_id", F.explode("bands").alias("key"))
     shared = (bucketed.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
               .filter(F.col("first") < F.col("last")).select("key", "first"))
@@ -261,9 +289,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = stash(members.filter(F.col("first") < F.col("doc_id"))
                  .select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "near-star")
     involved = members.select("doc_id").distinct()
-    texts = stash(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-                  .join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
+    named = (involved.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("rep"), F.lit(0).alias("rep_key"))
+             if unique else classes.join(involved, F.col("node") == F.col("doc_id"), "left_semi"))
+    texts = stash(docs.join(named.select("node", "rep", "rep_key"), is_rep).dropDuplicates(["node"])
+                  .select(F.col("node").alias("doc_id"), "text"), "near-texts")
     links = stash(verified(bayesian_survivors(star, reps), texts), "near-links")
+    if not unique:
+        links = links.unionByName(stash(same_id_links(usable, classes), "near-links"))
     tested = star
     sizes = reps.select("doc_id", "n_shingles")
     for turn in count(1):
@@ -316,8 +348,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .join(tested, ["a", "b"], "left_anti"))
     more = stash(verified(across, texts), "near-links")
     final = joined if more.isEmpty() else components(links.unionByName(more))
-    rep_of = classes.join(final, F.col("rep") == F.col("id"), "left").select(
-        "k1", "k2", F.coalesce("component", "rep").alias("component_id"))
+    found = classes.join(final, F.col("node") == F.col("id"), "left").select(
+        "k1", "k2", "rep", F.coalesce("component", "node").alias("component"))
+    if unique:
+        rep_of = found.select("k1", "k2", F.col("component").alias("component_id"))
+    else:
+        smallest = stash(found.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("n")),
+                         "near-smallest")
+        rep_of = spread_join(found, smallest.drop("n"), hot_keys(smallest, ["component"], "n"), ["component"],
+                             F.col("k1")).select("k1", "k2", "component_id")
     # A class of exact copies may hold a third of all rows.
     out = spread_join(signed.select("doc_id", "n_shingles", "k1", "k2"), rep_of, hot_keys(classes, ["k1", "k2"], "n"),
                       ["k1", "k2"], F.col("doc_id"), "left")

@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontaminate, packing, pii, substring
+from ledgerflow.llm import decontaminate, neardup, packing, pii, substring
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -96,3 +96,36 @@ def test_the_token_memory_forgets_without_changing_ids():
     texts = [" ".join(f"Wort{k % n}st, é{k}" for k in range(200)).encode() for n in (3, 7, 50)]
     assert small.of(texts) == large.of(texts) == small.of(texts)
     assert len(small) + len(small.older) <= 22
+
+
+def brute_components(rows):
+    """{doc_id: smallest id reachable} by comparing all sets; rows of one id are one document."""
+    sets = []
+    for d, t in rows:
+        w = (t or "").lower().split()
+        n = min(5, len(w))
+        sets.append({tuple(w[k:k + n]) for k in range(len(w) - n + 1)} if w else set())
+    label = {d: d for d, _ in rows}
+    changed = True
+    while changed:
+        changed = False
+        for i, (a, _) in enumerate(rows):
+            for j, (b, _) in enumerate(rows[:i]):
+                common = len(sets[i] & sets[j])
+                if label[a] != label[b] and sets[i] and 100 * common >= 75 * len(sets[i] | sets[j]):
+                    low, high = sorted((label[a], label[b]))
+                    label = {d: low if x == high else x for d, x in label.items()}
+                    changed = True
+    return label
+
+
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, c), (4, c), (5, "z " + c), (6, b), (9, ""), (9, None),
+            (7, "one two"), (8, "one two"), (8, "three")]
+    got = neardup.near_duplicates(docs_of(spark, rows)).collect()
+    expected = brute_components(rows)
+    assert len(got) == len(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got} == expected
+    assert expected[2] == expected[3] == expected[6] == 1 and expected[8] == 7
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
