@@ -19,7 +19,7 @@ TB_KEYS = ["reporting_period", "account_code", "account_name", "account_category
            "normal_side", "country"]
 
 
-def trial_balance(ledger: DataFrame, period: Period | None = None) -> DataFrame:
+def trial_balance(ledger: DataFrame, period: Period | None = None, tags: tuple[str, ...] = ()) -> DataFrame:
     """Per (month, account, country): debits, credits, net and line count.
 
     With a period, only its months (bounds truncated to the month) are
@@ -28,7 +28,7 @@ def trial_balance(ledger: DataFrame, period: Period | None = None) -> DataFrame:
     if period is not None:
         ledger = ledger.where(period.contains_month(F.col("reporting_period")))
     side = F.col("entry_side")
-    return (ledger.groupBy(*TB_KEYS)
+    return (ledger.groupBy(*tags, *TB_KEYS)
             .agg(LF.sum_when(side == "debit", F.col("line_amount")).alias("total_debit"),
                  LF.sum_when(side == "credit", F.col("line_amount")).alias("total_credit"),
                  LF.sum_money(F.col("signed_amount")).alias("net_balance"),

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
 from ledgerflow.operators.ranking import running_sum
-from ledgerflow.operators.staging import ride_order
-from ledgerflow.session import keep
+from ledgerflow.operators.staging import order_columns, ride_order
+from ledgerflow.session import keep, store
 
 # Stop narrowing once the boundary prefix holds at most this many rows (more where one hash does).
 BOUNDARY_ROWS = 20_000
@@ -65,19 +65,28 @@ def mark_picks(df: DataFrame, rate: float, seed_text: str) -> DataFrame:
     """``df`` with a boolean ``_hit`` column on exactly the picked rows."""
     # count, histogram rounds, the boundary and the final pass all read df
     df = keep(df)
-    n = fault_count(df.count(), rate)
+    return _marked(df, df, fault_count(df.count(), rate), seed_text, "_hit", ride_order())
+
+
+def _marked(df: DataFrame, keys: DataFrame, n: int, seed_text: str, hit: str, order: list[Column],
+            settle: bool = False) -> DataFrame:
+    """``df`` with its hash ``_h`` and ``hit`` on the n rows of smallest hash, ties by ``order``.
+
+    ``keys`` holds the same order and ride ids as ``df`` and is cheaper to scan.
+    """
+    prefix, m = _boundary(keys.select(pick_hash(seed_text).alias("_h")), n)
     hashed = df.withColumn("_h", pick_hash(seed_text))
-    prefix, m = _boundary(hashed, n)
     h = F.col("_h")
-    rest = hashed.where(~h.startswith(prefix)).withColumn("_hit", h < F.lit(prefix))
+    rest = hashed.where(~h.startswith(prefix)).withColumn(hit, h < F.lit(prefix))
     edge = hashed.where(h.startswith(prefix)).groupBy("_h", *df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    upto = running_sum(edge, [], [h.asc(), *ride_order()], "_copies", "_upto")
+    upto = running_sum(edge, [], [h.asc(), *order], "_copies", "_upto")
     hits = F.greatest(F.lit(0).cast("bigint"), F.least(F.col("_copies"), F.lit(m) - (F.col("_upto") - F.col("_copies"))))
-    parts = F.array(F.struct(F.lit(True).alias("_hit"), hits.alias("_n")),
-                    F.struct(F.lit(False).alias("_hit"), (F.col("_copies") - hits).alias("_n")))
+    parts = F.array(F.struct(F.lit(True).alias(hit), hits.alias("_n")),
+                    F.struct(F.lit(False).alias(hit), (F.col("_copies") - hits).alias("_n")))
     marked = (upto.select("_h", *df.columns, F.inline(parts)).where(F.col("_n") > 0)
-              .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))))
-    return rest.unionByName(marked.select(*rest.columns))
+              .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))).select(*rest.columns)
+    # The boundary is small; written, a frame that is marked again and again does not rank it anew.
+    return rest.unionByName(store(marked, "boundary") if settle else marked)
 
 
 def fault_sample(df: DataFrame, rate: float, seed_text: str) -> DataFrame:
@@ -136,3 +145,55 @@ def inject_faults(df: DataFrame, faults=tuple(S.DEFAULT_FAULTS), seed=S.FAULT_SE
     for f in faults:
         df = FAULTS[f](df, rates[f], seed)
     return df
+
+
+SCENARIO = "scenario"
+
+
+def _changed(fault: str, cols: dict[str, Column], df: DataFrame) -> dict[str, Column]:
+    """What a fault makes of the columns of a row it hits."""
+    if fault == "null":
+        return {c: F.lit(None).cast(df.schema[c].dataType) for c in S.MONEY_COLUMNS}
+    if fault == "outlier":
+        return {c: (cols[c] * 100).cast(df.schema[c].dataType) for c in S.MONEY_COLUMNS}
+    return {"country": F.lit(S.FAULT_COUNTRY)}
+
+
+def fault_scenarios(rides: DataFrame, chains: dict[str, tuple[str, ...]], seed=S.FAULT_SEED,
+                    rates: dict | None = None) -> DataFrame:
+    """``rides`` as every chain of faults leaves them, in one table with the chain's name in ``scenario``.
+
+    The rows of a scenario are those of ``inject_faults(rides, chain)``. No fault but the duplicate
+    changes the number of rows, and none the ids that picks are hashed from, so the rides are
+    written once and each fault adds a boolean mark to them; one generator then gives every ride
+    as each scenario has it, twice where the duplicate hits. Chains that begin alike share marks.
+    A duplicate has to be its chain's last fault.
+    """
+    rates = {**S.FAULT_RATES, **(rates or {})}
+    unknown = sorted({f for chain in chains.values() for f in chain} - set(FAULTS))
+    if unknown:
+        raise ValueError(f"unknown fault type(s) {unknown}; valid: {list(FAULTS)}")
+    if any("duplicate" in chain[:-1] for chain in chains.values()):
+        raise ValueError("a duplicate has to be the last fault of its chain")
+    base = keep(rides)
+    rows = base.count()
+    marked, marks, scenarios = base, {}, []
+    for name, chain in chains.items():
+        view, times = {c: F.col(c) for c in rides.columns}, F.lit(1)
+        for i, fault in enumerate(chain):
+            mark = marks.get(chain[:i + 1])
+            if mark is None:
+                mark = marks[chain[:i + 1]] = f"_mark{len(marks)}"
+                # Rows with one hash are ranked as the faults before have left them, then as they were.
+                order = [view[c].asc_nulls_last() for c in order_columns()]
+                told_apart = [*ride_order(), *[F.col(m).asc() for m in marked.columns if m.startswith("_mark")]]
+                marked = _marked(marked, base, fault_count(rows, rates[fault]), f"{seed}-{fault}", mark,
+                                 [*order, *told_apart], settle=True).drop("_h")
+            if fault == "duplicate":
+                times = F.when(F.col(mark), 2).otherwise(1)
+            else:
+                view = view | {c: F.when(F.col(mark), new).otherwise(view[c])
+                               for c, new in _changed(fault, view, rides).items()}
+        row = F.struct(F.lit(name).alias(SCENARIO), *[v.alias(c) for c, v in view.items()])
+        scenarios.append(F.array_repeat(row, times))
+    return marked.select(F.inline(F.flatten(F.array(*scenarios))))

@@ -32,7 +32,7 @@ def _line_amounts() -> dict:
     }
 
 
-def journal_lines(staged: DataFrame) -> DataFrame:
+def journal_lines(staged: DataFrame, tags: tuple[str, ...] = ()) -> DataFrame:
     amounts = _line_amounts()
     spine = F.array(*[
         F.struct(F.lit(t).alias("line_type"),
@@ -41,12 +41,12 @@ def journal_lines(staged: DataFrame) -> DataFrame:
                  amounts[t].cast(S.LINE_MONEY).alias("line_amount"))
         for i, t in enumerate(S.LINE_TYPES)
     ])
-    lines = staged.select("order_id", "ride_id", "scooter_id", "ride_date", "start_time", "city",
+    lines = staged.select(*tags, "order_id", "ride_id", "scooter_id", "ride_date", "start_time", "city",
                           "country", "currency", "coupon_code", F.inline(spine))
     return (lines.where(F.col("line_amount") > 0)
             .withColumn("journal_entry_id", LF.journal_entry_id(F.col("order_id"), F.col("line_type")))
-            .select(*JOURNAL_COLUMNS))
+            .select(*tags, *JOURNAL_COLUMNS))
 
 
-def journal_entries(staged: DataFrame) -> DataFrame:
-    return journal_lines(staged)
+def journal_entries(staged: DataFrame, tags: tuple[str, ...] = ()) -> DataFrame:
+    return journal_lines(staged, tags)

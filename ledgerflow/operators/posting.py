@@ -40,7 +40,7 @@ def chart_of_accounts(accounts: DataFrame) -> DataFrame:
 
 
 def general_ledger(journal: DataFrame, rules: DataFrame, accounts: DataFrame,
-                   broadcast_check: bool = True) -> DataFrame:
+                   broadcast_check: bool = True, tags: tuple[str, ...] = ()) -> DataFrame:
     """Journal lines with account attributes, reporting month and signed amount.
 
     Inner joins: a line with no rule or no account is not posted (see
@@ -54,7 +54,7 @@ def general_ledger(journal: DataFrame, rules: DataFrame, accounts: DataFrame,
           .join(a, "account_code", "inner")
           .withColumn("reporting_period", F.trunc("ride_date", "month"))
           .withColumn("signed_amount", LF.signed_amount(F.col("entry_side"), F.col("line_amount"))))
-    return gl.select(*LEDGER_COLUMNS)
+    return gl.select(*tags, *LEDGER_COLUMNS)
 
 
 def unposted_lines(journal: DataFrame, rules: DataFrame, accounts: DataFrame) -> DataFrame:

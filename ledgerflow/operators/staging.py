@@ -49,9 +49,12 @@ _TIE_BREAK = ["scooter_id", "end_time", "duration_min", "distance_km", "amount",
               "city", "country"]
 
 
+def order_columns(first: tuple[str, ...] = ("start_time", "ride_id")) -> list[str]:
+    return list(first) + [c for c in _TIE_BREAK if c not in first]
+
+
 def ride_order(first: tuple[str, ...] = ("start_time", "ride_id")) -> list[Column]:
-    names = list(first) + [c for c in _TIE_BREAK if c not in first]
-    return [F.col(c).asc_nulls_last() for c in names]
+    return [F.col(c).asc_nulls_last() for c in order_columns(first)]
 
 
 def ts_literal(d) -> Column:
@@ -95,9 +98,9 @@ def _dedup_partition(scope: str) -> list[Column]:
     return [F.col("order_id")]
 
 
-def first_per_order(clean: DataFrame, scope: str = "source") -> DataFrame:
-    """The first row of every order id (nulls form one order)."""
-    w = Window.partitionBy(*_dedup_partition(scope)).orderBy(*ride_order())
+def first_per_order(clean: DataFrame, scope: str = "source", tags: tuple[str, ...] = ()) -> DataFrame:
+    """The first row of every order id (nulls form one order); rows of other ``tags`` are other books."""
+    w = Window.partitionBy(*tags, *_dedup_partition(scope)).orderBy(*ride_order())
     return (clean.withColumn("_dedup_rn", F.row_number().over(w))
             .where(F.col("_dedup_rn") == 1)
             .drop("_dedup_rn"))
@@ -129,9 +132,9 @@ def dedup_orders(rides: DataFrame, threshold: Decimal = S.OUTLIER_THRESHOLD) ->
     return first_per_order(guard_outlier(guard_not_null(rides), threshold))
 
 
-def staged_projection(df: DataFrame) -> DataFrame:
+def staged_projection(df: DataFrame, tags: tuple[str, ...] = ()) -> DataFrame:
     return df.select(
-        "order_id", "ride_id", "scooter_id",
+        *tags, "order_id", "ride_id", "scooter_id",
         F.col("start_time").cast("timestamp_ntz").alias("start_time"),
         F.col("end_time").cast("timestamp_ntz").alias("end_time"),
         F.to_date("start_time").alias("ride_date"),
@@ -176,20 +179,21 @@ def orders_touching(rides: DataFrame, period: Period) -> DataFrame:
 
 
 def stage_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OUTLIER_THRESHOLD,
-                dedup_scope: str = "source") -> DataFrame:
+                dedup_scope: str = "source", tags: tuple[str, ...] = ()) -> DataFrame:
     """Clean, typed, deduplicated rides of the period.
 
     ``dedup_scope="source"`` (the reference's staging) deduplicates the whole
     source and then keeps the period, so a later copy in another period is
-    dropped here; ``"period"`` restricts to the period first.
+    dropped here; ``"period"`` restricts to the period first. ``tags`` are columns that tell several
+    books in one table apart: the rows of each are staged as if they stood alone.
     """
     _check_scope(dedup_scope)
     reach = in_period_by_start(period) if dedup_scope == "period" else before_end(period)
     clean = guard_outlier(guard_not_null(rides.where(reach)), threshold)
-    winners = first_per_order(clean, dedup_scope)
+    winners = first_per_order(clean, dedup_scope, tags)
     if dedup_scope != "period":
         winners = winners.where(in_period_by_start(period))
-    return staged_projection(winners)
+    return staged_projection(winners, tags)
 
 
 def _counted_rejects(rides: DataFrame, threshold: Decimal, scope: str) -> DataFrame:

@@ -476,41 +476,37 @@ def inject_country(spark, sf_dir):
     return faults.inject_country(_full(spark, sf_dir).rides)
 
 
-def _scenario(name: str, rides: DataFrame, books: adapter.Books) -> DataFrame:
-    """One scenario's before/after figures as tagged partial rows (summed later)."""
-    staged = keep(staging.stage_rides(keep(rides), FULL))
-    gl = posting.general_ledger(journal.journal_entries(staged), books.rules, books.accounts)
-    tb = balances.trial_balance(gl)
-    cat, net = F.col("account_category"), F.col("net_balance")
-    zero = F.lit(0).cast("bigint")
-    money0 = F.lit(0).cast(S.REPORT_MONEY)
-    src = rides.select(F.lit(1).cast("bigint").alias("source_rows"), zero.alias("staged_rows"),
-                       money0.alias("rev"), money0.alias("exp"))
-    stg = staged.select(zero.alias("source_rows"), F.lit(1).cast("bigint").alias("staged_rows"),
-                        money0.alias("rev"), money0.alias("exp"))
-    pnl = tb.select(zero.alias("source_rows"), zero.alias("staged_rows"),
-                    F.when(cat == "revenue", -net).otherwise(0).cast(S.REPORT_MONEY).alias("rev"),
-                    F.when(cat == "expense", net).otherwise(0).cast(S.REPORT_MONEY).alias("exp"))
-    bad_country = (staged.where(~F.col("country").isin(*books.countries))
-                   .agg(F.count_distinct("country").alias("country_check_failures")))
-    totals = (src.unionByName(stg).unionByName(pnl)
-              .agg(F.sum("source_rows").alias("source_rows"), F.sum("staged_rows").alias("staged_rows"),
-                   LF.sum_money(F.col("rev")).alias("total_revenue"),
-                   LF.sum_money(F.col("exp")).alias("total_expenses")))
-    return totals.select(
-        F.lit(name).alias("scenario"), "source_rows", "staged_rows", "total_revenue",
-        "total_expenses",
-        LF.report_money(F.col("total_revenue") - F.col("total_expenses")).alias("net_income"),
-        bad_country.scalar().cast("bigint").alias("country_check_failures"))
+IMPACT_CHAINS = {"clean": (), "prevented_faults": tuple(S.DEFAULT_FAULTS), "country_fault": ("country",)}
 
 
 def fault_impact(spark, sf_dir):
-    """Income statement and gate figures before and after fault injection."""
-    lg = _full(spark, sf_dir)
-    clean = lg.rides
-    scen = [("clean", clean), ("prevented_faults", faults.inject_faults(clean)),
-            ("country_fault", faults.inject_faults(clean, ["country"]))]
-    return quality.union_all([_scenario(n, r, lg.books) for n, r in scen])
+    """Income statement and gate figures before and after fault injection.
+
+    All scenarios go through one plan: the rides are marked once, given out per scenario, and
+    staged and posted by (scenario, order).
+    """
+    books = _full(spark, sf_dir).books
+    rides = faults.fault_scenarios(books.rides, IMPACT_CHAINS)
+    tags = (faults.SCENARIO,)
+    staged = keep(staging.stage_rides(rides, FULL, tags=tags))
+    gl = posting.general_ledger(journal.journal_entries(staged, tags), books.rules, books.accounts, tags=tags)
+    cat, net = F.col("account_category"), F.col("net_balance")
+    pnl = balances.trial_balance(gl, tags=tags).groupBy(*tags).agg(
+        LF.report_money(-F.sum(F.when(cat == "revenue", net).otherwise(0))).alias("total_revenue"),
+        LF.sum_when(cat == "expense", net).alias("total_expenses"))
+    source = rides.groupBy(*tags).agg(F.count(F.lit(1)).alias("source_rows"))
+    accepted = F.col("country").isin(*books.countries)
+    kept = (staged.groupBy(*tags, "country").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(*tags).agg(F.sum("n").alias("staged_rows"), F.count_if(~accepted).alias("country_check_failures")))
+    names = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in IMPACT_CHAINS])).alias(faults.SCENARIO))
+    out = names
+    for part in (source, kept, pnl):  # one row a scenario each
+        out = out.join(part, faults.SCENARIO, "left")
+    return out.select(
+        faults.SCENARIO, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("source_rows", "staged_rows")],
+        "total_revenue", "total_expenses",
+        LF.report_money(F.col("total_revenue") - F.col("total_expenses")).alias("net_income"),
+        F.coalesce("country_check_failures", F.lit(0)).cast("bigint").alias("country_check_failures"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [

@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import faults, staging
+from ledgerflow.operators import balances, faults, journal, posting, staging
 from ledgerflow.plans.context import FULL
 from ledgerflow.sources import adapter
 
@@ -64,3 +64,46 @@ def test_prevention_faults_are_quarantined(spark, rides):
     assert staged.groupBy("order_id").count().where("count > 1").count() == 0
     q = staging.quarantine_rides(faulted, FULL)
     assert q.where("rejection_reason = 'duplicate_order'").count() > 0
+
+
+def content(df, columns):
+    return sorted(map(str, df.select(*columns).collect()))
+
+
+def test_scenarios_equal_their_chains_injected_alone(spark, rides, monkeypatch):
+    monkeypatch.setattr(faults, "BOUNDARY_ROWS", 3)
+    # one order with many rows of one ride: they share every hash, so only their content ranks them
+    one = rides.limit(1)
+    crowd = (one.crossJoin(spark.range(40).withColumnRenamed("id", "n"))
+             .withColumn("amount", F.when(F.col("n") % 4 == 0, F.lit(None)).otherwise(F.col("n") % 5)
+                         .cast(rides.schema["amount"].dataType)).drop("n"))
+    table = rides.sample(0.1, seed=1).unionByName(crowd.select(*rides.columns))
+    chains = {"clean": (), "all": ("null", "outlier", "duplicate"), "mixed": ("null", "country")}
+    rates = {"null": 0.5, "outlier": 0.4, "duplicate": 0.6, "country": 0.3}
+    got = faults.fault_scenarios(table, chains, rates=rates)
+    assert got.columns == ["scenario", *rides.columns]
+    for name, chain in chains.items():
+        alone = faults.inject_faults(table, chain, rates=rates)
+        assert content(got.where(F.col("scenario") == name), rides.columns) == content(alone, rides.columns), name
+
+
+def test_scenarios_of_an_empty_table_and_bad_chains(spark, rides):
+    chains = {"clean": (), "all": ("null", "outlier", "duplicate")}
+    assert faults.fault_scenarios(rides.limit(0), chains).count() == 0
+    with pytest.raises(ValueError):
+        faults.fault_scenarios(rides, {"a": ("typo",)})
+    with pytest.raises(ValueError):
+        faults.fault_scenarios(rides, {"a": ("duplicate", "null")})
+
+
+def test_tagged_books_are_staged_and_posted_apart(spark, rides):
+    books = adapter.adapter_books(spark, SF)
+    rows = faults.fault_scenarios(rides, {"clean": (), "country": ("country",)})
+    tags = ("scenario",)
+    staged = staging.stage_rides(rows, FULL, tags=tags)
+    tb = balances.trial_balance(posting.general_ledger(journal.journal_entries(staged, tags), books.rules,
+                                                       books.accounts, tags=tags), tags=tags)
+    for name, table in (("clean", rides), ("country", faults.inject_country(rides))):
+        alone = balances.trial_balance(posting.general_ledger(
+            journal.journal_entries(staging.stage_rides(table, FULL)), books.rules, books.accounts))
+        assert content(tb.where(F.col("scenario") == name), alone.columns) == content(alone, alone.columns)
