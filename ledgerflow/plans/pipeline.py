@@ -25,6 +25,7 @@ from ledgerflow.operators import balances, journal, posting, quality, staging, s
 from ledgerflow.periods import Period
 from ledgerflow.session import checkpoint_dir
 from ledgerflow.sources.adapter import Books
+from ledgerflow.sources.closing import ClosingBalances
 from ledgerflow.sources.orderstate import OrderState
 from ledgerflow.sources.sinks import PeriodTable
 
@@ -74,6 +75,11 @@ class Warehouse:
     def order_state(self) -> OrderState:
         return OrderState(self.spark, f"{self.root}/order_state")
 
+    def closing_balances(self) -> ClosingBalances:
+        # Beside the layers: carried from the trial balance, never gated, rebuilt where it is stale.
+        table = PeriodTable(self.spark, f"{self.root}/closing_balances", "reporting_period", self.work_dir, True)
+        return ClosingBalances(table, self.table("fct_trial_balance"))
+
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
 
@@ -265,13 +271,14 @@ def _build(spark: SparkSession, books: Books, period: Period, warehouse: Warehou
         tb = done[2]
     _gate(res, "trial_balance", {"fct_trial_balance": tb}, books, gate, wh)
 
-    # reports: income statement on the period's months, balance sheet cumulative
-    all_tb = wh.table("fct_trial_balance").read(tb.schema)
+    # reports: income statement on the period's months, balance sheet on the balances carried to its end
+    at_end = wh.closing_balances().as_of(period.months()[-1].start)
     isd, bsd = _together(
         lambda: _store(wh, "rpt_income_statement_detail",
-                       statements.income_statement_detail(all_tb, period), period, full_refresh, watch),
+                       statements.income_statement_detail(tb, period), period, full_refresh, watch),
         lambda: _store(wh, "rpt_balance_sheet_detail",
-                       statements.balance_sheet_detail(all_tb, period), period, full_refresh, watch))
+                       statements.balance_sheet_detail(at_end, period), period, full_refresh, watch))
+    pending.append(later.submit(wh.closing_balances().refresh))
     iss, bss = _together(
         lambda: _store(wh, "rpt_income_statement_summary",
                        statements.income_statement_summary(isd, period), period, full_refresh, watch),

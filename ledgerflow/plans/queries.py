@@ -199,6 +199,32 @@ def stored_repeated_keys(spark, sf_dir):
     return repeated.groupBy("copies").agg(F.count(F.lit(1)).alias("entries"))
 
 
+def stored_closing_balances(spark, sf_dir):
+    """Closing balances a month, carried on after a correction of past months.
+
+    The trial balance is stored with the rides of EARLY_DAYS four weeks early, and balances are
+    carried to its end. Then the two months are stored again as they should be: closings up to the
+    month before stay, all later ones are carried on anew.
+    """
+    lg = _full(spark, sf_dir)
+    moved = staging.in_period_by_start(EARLY_DAYS)
+    booked_early = lg.rides.withColumn("start_time", F.when(moved, F.col("start_time") - F.expr("INTERVAL 28 DAYS"))
+                                       .otherwise(F.col("start_time")))
+    wh = Warehouse(spark, _new_folder(spark, "closing"), shared_folder(spark))
+    stored, carried = wh.table("fct_trial_balance"), wh.closing_balances()
+
+    def balance(rides):
+        staged = staging.stage_rides(rides, FULL)
+        return balances.trial_balance(posting.general_ledger(journal.journal_entries(staged), lg.books.rules,
+                                                             lg.books.accounts))
+    stored.overwrite(balance(booked_early))
+    carried.refresh()
+    again = Period(date(1998, 2, 1), MONTH.end)
+    stored.replace(balance(lg.rides).where(again.contains_month(F.col("reporting_period"))), again)
+    carried.refresh()
+    return carried.table.read()
+
+
 def stage_month_by_state(spark, sf_dir):
     """One month staged from its own rows and the first-seen state of orders, without the history."""
     books = _full(spark, sf_dir).books
@@ -517,7 +543,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     quarantine_summary, staging_reconciliation, trial_balance, trial_balance_month,
     trial_balance_check, income_statement_detail, income_statement_summary, balance_sheet_detail,
     balance_sheet_summary, statement_lines_ordered, preview_rides, direct_income_statement,
-    direct_income_totals, stored_reruns, stored_key_replacement, stored_repeated_keys, stage_month_by_state,
+    direct_income_totals, stored_reruns, stored_key_replacement, stored_repeated_keys, stored_closing_balances,
+    stage_month_by_state,
     pnl_reconciliation, mapping_completeness, range_lookup_city, price_rides, order_uuid,
     rides_per_day_check, rides_per_country, billing_validation, dq_report, dq_not_null, dq_unique,
     dq_accepted_values, dq_relationships, dq_journal_balance, dq_gl_balance,
