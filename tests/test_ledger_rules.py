@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow import Period
 from ledgerflow.operators import balances, journal, posting, quality, staging, statements
+from ledgerflow.session import keep
 from tests import fixtures
 
 JAN = Period.month(2026, 1)
@@ -175,3 +176,16 @@ def test_classification_single_pass_matches_cascade(books):
     cls = staging.classify(books.rides).where(F.col("start_time").isNotNull())
     got = {r.ride_id: r.rejection_reason for r in cls.collect()}
     assert got[3] == "null_financial_amount" and got[4] == "outlier_amount" and got[1] is None
+
+
+def test_unique_counts_texts_whose_hash_repeats(spark):
+    rows = spark.createDataFrame([("a",), ("b",), ("a",), (None,), (None,), ("c",), ("c",), ("c",)], "id string")
+    assert [tuple(r) for r in quality.unique(rows, "m", "id").collect()] == [("m", "unique", "id", 2)]
+    assert quality.unique(rows.where("id = 'b'"), "m", "id").collect()[0].failures == 0
+    assert quality.unique(spark.range(3).union(spark.range(2)), "m", "id").collect()[0].failures == 2
+
+
+def test_kept_frames_are_compressed_columns(spark):
+    rows = spark.createDataFrame([(1, "x")], "a int, b string")
+    kept = keep(rows)
+    assert kept.collect() == rows.collect() and kept.inputFiles()[0].endswith(".zstd.parquet")
