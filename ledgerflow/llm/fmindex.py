@@ -9,6 +9,8 @@ document and gives every truncated matching statistic with its interval.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 
@@ -56,6 +58,22 @@ def prefix_classes(text: np.ndarray, depth: int) -> np.ndarray:
     return c
 
 
+# Places of queries, with the padding to one length, that are streamed side by side.
+SEARCH_CELLS = 1_000_000
+
+
+def alike(sizes: list[int], cells: int) -> Iterator[list[int]]:
+    """Numbers of the queries in groups of like size, each at most ``cells`` when padded (or one query)."""
+    group: list[int] = []
+    for k in sorted(range(len(sizes)), key=sizes.__getitem__):
+        if group and (len(group) + 1) * sizes[k] > cells:
+            yield group
+            group = []
+        group.append(k)
+    if group:
+        yield group
+
+
 class FMIndex:
     """Index of documents given as arrays of symbols >= 1; 0 separates them."""
 
@@ -83,10 +101,17 @@ class FMIndex:
     def matching_statistics(self, queries: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For every query and place: matched length, at most ``depth``, and the class where it is full (else -1).
 
-        Queries are streamed side by side, from right to left. A query's words must occur in the
-        index together, as those of indexed documents do; where they do not, the match is cut to
-        nothing and begins anew.
+        Queries of like size are streamed side by side, from right to left, so that one long query does not
+        widen them all. A query's words must occur in the index together, as those of indexed documents do;
+        where they do not, the match is cut to nothing and begins anew.
         """
+        found: list = [None] * len(queries)
+        for group in alike([len(q) for q in queries], SEARCH_CELLS):
+            for k, one in zip(group, self._streamed([queries[k] for k in group])):
+                found[k] = one
+        return found
+
+    def _streamed(self, queries: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         longest = max(map(len, queries), default=0)
         padded = np.zeros((len(queries), longest), np.int64)
         for k, q in enumerate(queries):
@@ -111,4 +136,4 @@ class FMIndex:
             low[live], high[live], length[live] = lo, hi, n
             lengths[live, at] = n
             classes[live, at] = np.where(full, k, -1)
-        return [(lengths[k, longest - s:], classes[k, longest - s:]) for k, s in enumerate(size)]
+        return [(lengths[k, longest - s:].copy(), classes[k, longest - s:].copy()) for k, s in enumerate(size)]

@@ -39,6 +39,8 @@ GRAM = 10
 # Words that a shard's index holds, and entries of one gram that may share a shard.
 SHARD_WORDS = 200_000
 HOT_ENTRIES = 1500
+# Documents whose words a task holds at a time.
+DOCS_A_STEP = 256
 
 
 def cut_segments(words: list[bytes], window: int = WINDOW, gram: int = GRAM):
@@ -67,12 +69,19 @@ def _words(texts) -> list[list[bytes]]:
     return [t.split() if t else [] for t in texts.cast(pa.binary()).to_pylist()]
 
 
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few documents: words as Python objects take many times their text's memory."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, DOCS_A_STEP):
+            yield batch.slice(k, DOCS_A_STEP)
+
+
 def segments(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text_key, start, windows, route, content) of every segment of whole documents."""
     names = ["doc_id", "text_key", "start", "windows", "route", "content"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _steps(batches):
             ids, keys, parts = [], [], []
             for doc, words, key in zip(batch.column(0).to_pylist(), _words(batch.column(1)), batch.column(2).to_pylist()):
                 part = cut_segments(words, window)
@@ -99,7 +108,7 @@ def segment_texts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     types = [pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _steps(batches):
             rows = []
             for doc, words, parts in zip(batch.column(0).to_pylist(), _words(batch.column(1)),
                                          batch.column(2).to_pylist()):
@@ -211,7 +220,7 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, window: int, with_text
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _steps(batches):
             totals, gone, digests, kept = [], [], [], []
             for words, hits in zip(_words(batch.column(1)), batch.column(2).to_pylist()):
                 n = len(words)

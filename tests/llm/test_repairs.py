@@ -3,9 +3,12 @@
 import hashlib
 import time
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontaminate, neardup, packing, pii, substring
+from ledgerflow.llm import decontaminate, fmindex, neardup, packing, pii, substring
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -129,3 +132,32 @@ def test_near_duplicates_of_rows_that_share_an_id(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == expected
     assert expected[2] == expected[3] == expected[6] == 1 and expected[8] == 7
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+
+
+def test_packing_searches_on_while_better_groupings_come_up(monkeypatch):
+    rng = np.random.default_rng(3)
+    lengths = sorted(np.clip(np.exp(rng.normal(5.5, 1.0, 800)), 1, 2047).astype(int).tolist(), reverse=True)
+    made, cross = [], packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: made.append(cross(*a)) or made[-1])
+    packing.evolve([1100] * 50, 2048, 0, [])  # fifty bins cannot become fewer, nor reach the sum's bound
+    assert len(made) == packing.STALE_GENERATIONS and packing.POPULATION >= 10
+    best = packing.evolve(lengths, 2048, 0, [])
+    assert sorted(i for b in best.bins for i in b) == list(range(800))
+
+
+def test_substring_batches_are_read_in_steps():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600))], ["n"])
+    parts = list(substring._steps(iter([batch])))
+    assert [p.num_rows for p in parts] == [256, 256, 88]
+    assert [n for p in parts for n in p.column(0).to_pylist()] == list(range(600))
+
+
+def test_one_long_query_does_not_widen_the_others(monkeypatch):
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(1, 4, n) for n in (60, 7, 900, 55, 1, 64)]
+    index = fmindex.FMIndex(docs, 5, 4)
+    together = index._streamed(docs)
+    monkeypatch.setattr(fmindex, "SEARCH_CELLS", 130)
+    assert list(fmindex.alike([len(d) for d in docs], 130)) == [[4, 1], [3, 0], [5], [2]]
+    for one, other in zip(index.matching_statistics(docs), together):
+        assert (one[0] == other[0]).all() and (one[1] == other[1]).all()
