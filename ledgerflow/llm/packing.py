@@ -35,8 +35,9 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 SHARD_PIECES = 4096
 ISLANDS = 2
-POPULATION = 3
-GENERATIONS = 4
+POPULATION = 10
+# A search ends after this many generations without a better grouping, or at the least number of bins.
+STALE_GENERATIONS = 20
 # Bins filled less than this migrate to the second round.
 ELITE_FILL = 0.98
 
@@ -213,8 +214,8 @@ def crossover(one: Bins, other: Bins, share: float, rng: np.random.Generator) ->
 
 
 def evolve(lengths: list[int], capacity: int, seed: int, start: list[Bins], population: int = POPULATION,
-           generations: int = GENERATIONS) -> Bins:
-    """Best grouping after some generations; ``start`` are individuals that migrate in."""
+           stale_generations: int = STALE_GENERATIONS) -> Bins:
+    """Best grouping once no better one comes up; ``start`` are individuals that migrate in."""
     rng = np.random.default_rng(seed)
     size = np.array(lengths)
     individuals = list(start)
@@ -226,13 +227,14 @@ def evolve(lengths: list[int], capacity: int, seed: int, start: list[Bins], popu
         individuals.append(b)
     least = math.ceil(sum(lengths) / capacity)
     individuals.sort(key=Bins.fitness)
-    for _ in range(generations):
-        if len(individuals[0].bins) <= least:
-            break
+    stale = 0
+    while stale < stale_generations and len(individuals[0].bins) > least:
+        best = individuals[0]
         a, b = rng.choice(len(individuals), 2, replace=False)
         individuals.append(crossover(individuals[a], individuals[b], 0.3, rng))
         individuals.sort(key=Bins.fitness)
         individuals.pop()
+        stale = stale + 1 if individuals[0] is best else 0
     return individuals[0]
 
 
