@@ -244,3 +244,19 @@ def test_csv_sources_have_files_too(spark, workdir):
     state = OrderState(spark, os.path.join(workdir, "state"))
     assert len(state.refresh(ride_files(spark, path))) == 1
     assert state.refresh(ride_files(spark, path)) == []
+
+
+def test_lines_of_rides_dealt_by_month_are_stored_without_another_shuffle(spark, workdir):
+    rides = spark.range(400).select(F.col("id"), F.expr("date_add(DATE'2020-01-15', cast(id % 60 as int))").alias("day"))
+    lines = sinks.rows_by_month(rides, "day").select(F.explode(F.array(F.col("id"), F.col("id") + 1000)).alias("key"), "day")
+    table = sinks.PeriodTable(spark, f"{workdir}/lines", "day", keys=["key"])
+    asked = []
+    table._write = lambda df, by_month=False, write=table._write: asked.append(by_month) or write(df, by_month)
+    table.overwrite(lines, by_month=True)
+    assert asked == [True] and sorted(map(tuple, table.read().collect())) == sorted(map(tuple, lines.collect()))
+    assert all(f.endswith(".zstd.parquet") for f in table.read().inputFiles())
+    # A period that holds every stored month finds what no period finds.
+    table.overwrite(lines.union(lines.where("key < 7")), by_month=True)
+    whole = Period.of("2020-01-01", "2020-03-31")
+    assert table.duplicate_keys(whole).count() == table.duplicate_keys().count() == 7
+    assert table.duplicate_keys(Period.month(2020, 2)).count() == 0
