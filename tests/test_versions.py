@@ -11,6 +11,7 @@ from ledgerflow import Period
 from ledgerflow import schemas as S
 from ledgerflow.operators import quality, staging
 from ledgerflow.plans.pipeline import Warehouse, _gate, RunResult
+from ledgerflow.sources import sinks
 from ledgerflow.sources.files import read_rides, ride_files, write_csv
 from ledgerflow.sources.orderstate import OrderState
 from ledgerflow.sources.sinks import PeriodTable
