@@ -1,6 +1,7 @@
 """Numbering that is spread over tasks equals one sorted list, whatever the pieces."""
 
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +92,26 @@ def test_faults_pick_among_equal_keys_without_collecting_them(spark, many_pieces
     assert len(hits) == 365 // 2 and marked.count() == 365
     order = sorted((r.start_time, r.scooter_id, r.end_time, r.duration_min) for r in rides.collect())
     assert sorted((r.start_time, r.scooter_id, r.end_time, r.duration_min) for r in hits) == order[:365 // 2]
+
+
+def test_crowded_and_other_orders_are_numbered_alike(spark, many_pieces, monkeypatch):
+    def quarantined(scope):
+        return sorted(map(str, staging.quarantine_rides(rides, Period.month(2026, 1), dedup_scope=scope,
+                                                        with_seq=True).collect()))
+    base = datetime(2026, 1, 3, 8, 0)
+    # one order with many clean rows, some of them equal, starting in three months
+    hot = [("h", i % 3, 1, base + timedelta(days=30 * (i % 4) - 31), base, i % 7, 1.0, Decimal("5.18"), 0.24, Decimal("1.24"),
+            Decimal("6.42"), "EUR", None, None, "Tallinn", "Estonia") for i in range(60)]
+    rides = hot_rides(spark).unionByName(fixtures.rides(spark)).unionByName(spark.createDataFrame(hot, S.RIDES))
+    for scope in staging.DEDUP_SCOPES:
+        together = quarantined(scope)
+        with monkeypatch.context() as m:
+            m.setattr(staging, "COPIES_A_BLOCK", 7)
+            assert len(staging._crowded_buckets(rides, 7)) == 2
+            assert quarantined(scope) == together, scope
+
+
+def test_orders_that_are_not_crowded_meet_once(spark):
+    q = staging.quarantine_rides(adapter.adapter_rides(spark, "/root/testdata/sf0.001"), FULL, with_seq=True)
+    p = q._jdf.queryExecution().executedPlan().toString()
+    assert p.count("lineitem.parquet") == 1 and p.count("Exchange hashpartitioning(order_id") == 1
