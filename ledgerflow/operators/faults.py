@@ -6,7 +6,7 @@ replacement by a seeded hash of the row key: the rows with the smallest
 
 Picking the smallest n hashes never sorts the table. The hash prefix space
 is narrowed with 256-way histograms (one small aggregate per round, at most
-256 rows to the driver) until the boundary prefix holds few rows or is one
+256 rows a fault to the driver) until the boundary prefix holds few rows or is one
 whole hash; every row below the boundary prefix is hit. The boundary rows are
 counted by content and ranked by a distributed running sum, so any number of
 rows may share the boundary hash, equal rows included.
@@ -15,6 +15,7 @@ rows may share the boundary hash, equal rows included.
 from __future__ import annotations
 
 from decimal import ROUND_FLOOR, Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from ledgerflow.session import keep, store
 
 # Stop narrowing once the boundary prefix holds at most this many rows (more where one hash does).
 BOUNDARY_ROWS = 20_000
+# Digits of a hash that are written beside the rows several faults pick among.
+HEAD = 8
 
 
 def fault_count(rows: int, rate: float) -> int:
@@ -39,42 +42,53 @@ def pick_hash(seed_text: str) -> Column:
     return F.md5(key)
 
 
-def _boundary(hashed: DataFrame, n: int) -> tuple[str, int]:
-    """Prefix P and count m such that rows with hash < P number n - m and the
-    n-th smallest hash starts with P (P holds at most BOUNDARY_ROWS rows, or is a whole hash)."""
-    prefix, remaining = "", n
-    while True:
-        scope = hashed.where(F.col("_h").startswith(prefix)) if prefix else hashed
-        width = len(prefix) + 2
-        hist = sorted((r[0], r[1]) for r in
-                      scope.groupBy(F.substring("_h", 1, width).alias("p"))
-                      .agg(F.count(F.lit(1)).alias("n")).collect())
-        below = 0
-        for p, c in hist:
-            if below + c >= remaining:
-                prefix, remaining = p, remaining - below
-                break
-            below += c
-        else:  # fewer rows than asked for: every row is hit
-            return "g", 0
-        if c <= BOUNDARY_ROWS or width >= 32:
-            return prefix, remaining
+def _boundaries(ids: DataFrame, wanted: dict[str, int], heads: dict[str, str] | None = None) -> dict[str, tuple[str, int]]:
+    """Per seed text and its n: prefix P and count m such that rows with hash < P number n - m and the
+    n-th smallest hash starts with P (P holds at most BOUNDARY_ROWS rows, or is a whole hash).
+
+    All seeds are narrowed together, one scan a round. ``heads`` names columns of ``ids`` that hold the
+    first HEAD digits of a seed's hash.
+    """
+    heads = heads or {}
+    found, narrowing, width = {}, {text: ("", n) for text, n in wanted.items()}, 0
+    while narrowing:
+        width += 2
+        texts = list(narrowing)
+        names = [f"_{i}" for i in range(len(texts))]
+        hashes = ids.select(*[(F.col(heads[t]) if t in heads and width <= HEAD else pick_hash(t)).alias(name)
+                              for name, t in zip(names, texts)])
+        digits = [F.when(F.col(name).startswith(narrowing[t][0]), F.substring(name, 1, width)).alias(name)
+                  for name, t in zip(names, texts)]
+        rows = (hashes.select(*digits).unpivot([], names, "_seed", "_p").where(F.col("_p").isNotNull())
+                .groupBy("_seed", "_p").agg(F.count(F.lit(1)).alias("_n")).collect())
+        for name, text in zip(names, texts):
+            remaining = narrowing.pop(text)[1]
+            for p, c in sorted((r["_p"], r["_n"]) for r in rows if r["_seed"] == name):
+                if c >= remaining:
+                    if c <= BOUNDARY_ROWS or width >= 32:
+                        found[text] = p, remaining
+                    else:
+                        narrowing[text] = p, remaining
+                    break
+                remaining -= c
+            else:  # fewer rows than asked for: every row is hit
+                found[text] = "g", 0
+    return found
 
 
 def mark_picks(df: DataFrame, rate: float, seed_text: str) -> DataFrame:
     """``df`` with a boolean ``_hit`` column on exactly the picked rows."""
     # count, histogram rounds, the boundary and the final pass all read df
     df = keep(df)
-    return _marked(df, df, fault_count(df.count(), rate), seed_text, "_hit", ride_order())
+    bound = _boundaries(df, {seed_text: fault_count(df.count(), rate)})[seed_text]
+    return _marked(df, bound, seed_text, "_hit", ride_order())
 
 
-def _marked(df: DataFrame, keys: DataFrame, n: int, seed_text: str, hit: str, order: list[Column],
+def _marked(df: DataFrame, bound: tuple[str, int], seed_text: str, hit: str, order: list[Column],
             settle: bool = False) -> DataFrame:
-    """``df`` with its hash ``_h`` and ``hit`` on the n rows of smallest hash, ties by ``order``.
-
-    ``keys`` holds the same order and ride ids as ``df`` and is cheaper to scan.
-    """
-    prefix, m = _boundary(keys.select(pick_hash(seed_text).alias("_h")), n)
+    """``df`` with its hash ``_h`` and ``hit`` on the rows below the boundary and, of the rows on it,
+    on the first m by (hash, ``order``)."""
+    prefix, m = bound
     hashed = df.withColumn("_h", pick_hash(seed_text))
     h = F.col("_h")
     rest = hashed.where(~h.startswith(prefix)).withColumn(hit, h < F.lit(prefix))
@@ -142,8 +156,12 @@ def inject_faults(df: DataFrame, faults=tuple(S.DEFAULT_FAULTS), seed=S.FAULT_SE
     unknown = [f for f in faults if f not in FAULTS]
     if unknown:
         raise ValueError(f"unknown fault type(s) {unknown}; valid: {list(FAULTS)}")
-    for f in faults:
-        df = FAULTS[f](df, rates[f], seed)
+    faults = tuple(faults)
+    while faults:
+        # up to a duplicate, which changes the rows that later faults pick among, one written table serves all
+        upto = faults.index("duplicate") + 1 if "duplicate" in faults else len(faults)
+        df = fault_scenarios(df, {"": faults[:upto]}, seed, rates).drop(SCENARIO)
+        faults = faults[upto:]
     return df
 
 
@@ -164,10 +182,10 @@ def fault_scenarios(rides: DataFrame, chains: dict[str, tuple[str, ...]], seed=S
     """``rides`` as every chain of faults leaves them, in one table with the chain's name in ``scenario``.
 
     The rows of a scenario are those of ``inject_faults(rides, chain)``. No fault but the duplicate
-    changes the number of rows, and none the ids that picks are hashed from, so the rides are
-    written once and each fault adds a boolean mark to them; one generator then gives every ride
-    as each scenario has it, twice where the duplicate hits. Chains that begin alike share marks.
-    A duplicate has to be its chain's last fault.
+    changes the number of rows, and none the ids that picks are hashed from, so the rides are written
+    once with the first digits of their hashes, the picks of all faults are found in common scans, and
+    whether a fault hits a ride is read off these digits. Only the few rides on a fault's boundary are ranked; they are marked in a small table
+    of their own. Each scenario is a projection of both. A duplicate has to be its chain's last fault.
     """
     rates = {**S.FAULT_RATES, **(rates or {})}
     unknown = sorted({f for chain in chains.values() for f in chain} - set(FAULTS))
@@ -175,25 +193,45 @@ def fault_scenarios(rides: DataFrame, chains: dict[str, tuple[str, ...]], seed=S
         raise ValueError(f"unknown fault type(s) {unknown}; valid: {list(FAULTS)}")
     if any("duplicate" in chain[:-1] for chain in chains.values()):
         raise ValueError("a duplicate has to be the last fault of its chain")
-    base = keep(rides)
-    rows = base.count()
-    marked, marks, scenarios = base, {}, []
+    texts = {f: f"{seed}-{f}" for chain in chains.values() for f in chain}
+    heads = {text: f"_head{i}" for i, text in enumerate(texts.values())}
+    base = keep(rides.withColumns({head: F.substring(pick_hash(text), 1, HEAD) for text, head in heads.items()}))
+    rows = base.count() if texts else 0
+    bounds = _boundaries(base, {text: fault_count(rows, rates[f]) for f, text in texts.items()}, heads)
+
+    def on_boundary(faults) -> Column:
+        on = F.lit(False)
+        for f in faults:
+            on = on | F.col(heads[texts[f]]).startswith(bounds[texts[f]][0][:HEAD])
+        return on
+
+    edge = store(base.where(on_boundary(texts)), "boundaries") if texts else None
+    marks, views = {}, {}
     for name, chain in chains.items():
-        view, times = {c: F.col(c) for c in rides.columns}, F.lit(1)
+        view = {c: F.col(c) for c in rides.columns}
         for i, fault in enumerate(chain):
             mark = marks.get(chain[:i + 1])
             if mark is None:
                 mark = marks[chain[:i + 1]] = f"_mark{len(marks)}"
                 # Rows with one hash are ranked as the faults before have left them, then as they were.
                 order = [view[c].asc_nulls_last() for c in order_columns()]
-                told_apart = [*ride_order(), *[F.col(m).asc() for m in marked.columns if m.startswith("_mark")]]
-                marked = _marked(marked, base, fault_count(rows, rates[fault]), f"{seed}-{fault}", mark,
-                                 [*order, *told_apart], settle=True).drop("_h")
-            if fault == "duplicate":
-                times = F.when(F.col(mark), 2).otherwise(1)
-            else:
+                told_apart = [*ride_order(), *[F.col(m).asc() for m in edge.columns if m.startswith("_mark")]]
+                edge = _marked(edge, bounds[texts[fault]], texts[fault], mark, [*order, *told_apart],
+                               settle=True).drop("_h")
+            if fault != "duplicate":
                 view = view | {c: F.when(F.col(mark), new).otherwise(view[c])
                                for c, new in _changed(fault, view, rides).items()}
-        row = F.struct(F.lit(name).alias(SCENARIO), *[v.alias(c) for c, v in view.items()])
-        scenarios.append(F.array_repeat(row, times))
-    return marked.select(F.inline(F.flatten(F.array(*scenarios))))
+        views[name] = view
+    out = []
+    for name, chain in chains.items():
+        marked = base
+        if chain:
+            hit = {marks[chain[:i + 1]]: F.col(heads[texts[f]]) < F.lit(bounds[texts[f]][0][:HEAD])
+                   for i, f in enumerate(chain)}
+            marked = (base.where(~on_boundary(chain)).withColumns(hit).select(*rides.columns, *hit)
+                      .unionByName(edge.where(on_boundary(chain)).select(*rides.columns, *hit)))
+        if chain[-1:] == ("duplicate",):
+            copies = F.when(F.col(marks[chain]), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+            marked = marked.withColumn("_copy", F.explode(copies))
+        out.append(marked.select(F.lit(name).alias(SCENARIO), *[v.alias(c) for c, v in views[name].items()]))
+    return reduce(DataFrame.unionByName, out)

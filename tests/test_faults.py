@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators import balances, faults, journal, posting, staging
 from ledgerflow.plans.context import FULL
+from ledgerflow.session import keep
 from ledgerflow.sources import adapter
 
 SF = "/root/testdata/sf0.001"
@@ -107,3 +108,36 @@ def test_tagged_books_are_staged_and_posted_apart(spark, rides):
         alone = balances.trial_balance(posting.general_ledger(
             journal.journal_entries(staging.stage_rides(table, FULL)), books.rules, books.accounts))
         assert content(tb.where(F.col("scenario") == name), alone.columns) == content(alone, alone.columns)
+
+
+def test_a_chain_equals_its_faults_one_by_one(spark, rides, monkeypatch):
+    monkeypatch.setattr(faults, "BOUNDARY_ROWS", 3)
+    table = rides.sample(0.1, seed=2)
+    table = table.unionByName(table.limit(1).crossJoin(spark.range(30)).select(*rides.columns))
+    rates = {"null": 0.3, "outlier": 0.4, "duplicate": 0.5, "country": 0.2}
+    for chain in (("null", "outlier", "duplicate"), ("duplicate", "country", "null"), ("outlier",)):
+        one_by_one = table
+        for f in chain:
+            one_by_one = faults.FAULTS[f](one_by_one, rates[f])
+        got = faults.inject_faults(table, chain, rates=rates)
+        assert content(got, rides.columns) == content(one_by_one, rides.columns), chain
+
+
+def test_a_chain_writes_the_table_once(spark, rides, monkeypatch):
+    kept = []
+    monkeypatch.setattr(faults, "keep", lambda df: kept.append(df) or keep(df))
+    faults.inject_faults(rides)
+    assert len(kept) == 1
+    assert {f"_head{i}" for i in range(3)} <= set(kept[0].columns)
+
+
+def test_boundaries_beyond_the_written_digits(spark, rides, monkeypatch):
+    # many rows share one hash: the boundary is the whole hash, the digits beside the rows only its head
+    monkeypatch.setattr(faults, "BOUNDARY_ROWS", 3)
+    crowd = rides.limit(1).crossJoin(spark.range(50)).select(*rides.columns)
+    texts = {f"7-{f}": 25 for f in ("a", "b")}
+    got = faults._boundaries(crowd, texts)
+    assert got == {t: (crowd.select(faults.pick_hash(t)).first()[0], 25) for t in texts}
+    heads = crowd.withColumns({f"_head{i}": F.substring(faults.pick_hash(t), 1, faults.HEAD)
+                               for i, t in enumerate(texts)})
+    assert faults._boundaries(heads, texts, {t: f"_head{i}" for i, t in enumerate(texts)}) == got
