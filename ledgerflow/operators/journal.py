@@ -22,6 +22,10 @@ JOURNAL_COLUMNS = ["journal_entry_id", "order_id", "ride_id", "scooter_id", "rid
                    "start_time", "city", "country", "currency", "line_type", "line_number",
                    "entry_side", "line_amount", "coupon_code"]
 
+# The columns of staged rides that the journal is made of.
+RIDE_INPUTS = ["order_id", "ride_id", "scooter_id", "ride_date", "start_time", "city", "country", "currency",
+               "coupon_code", "coupon_amount", "amount", "vat_amount", "sum_with_vat_amount"]
+
 
 def _line_amounts() -> dict:
     return {

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.operators import balances, journal, posting, staging, statements
+from ledgerflow.operators.quality import NOT_NULL
 from ledgerflow.periods import Period
 from ledgerflow.session import keep
 from ledgerflow.sources import adapter
@@ -31,13 +32,11 @@ class Ledger:
     sf_dir: str
     period: Period = FULL
     dedup_scope: str = "source"
-    # Write the layers that took a shuffle when many branches of one query read them (see session.keep).
+    # Write the layers that took a shuffle when many branches of one query read them (see session.keep):
+    # of staged rides the columns that journal and checks read, of the quarantine those that checks read.
     # Journal and ledger are not: each branch derives the columns it needs from the staged rides, row by row.
     materialize: bool = False
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return keep(df) if self.materialize else df
-
     @cached_property
     def books(self) -> adapter.Books:
         return adapter.adapter_books(self.spark, self.sf_dir)
@@ -48,11 +47,14 @@ class Ledger:
 
     @cached_property
     def staged(self) -> DataFrame:
-        return self._keep(staging.stage_rides(self.rides, self.period, dedup_scope=self.dedup_scope))
+        staged = staging.stage_rides(self.rides, self.period, dedup_scope=self.dedup_scope)
+        return keep(staged.select(*journal.RIDE_INPUTS)) if self.materialize else staged
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        return self._keep(staging.quarantine_rides(self.rides, self.period))
+        rejected = staging.quarantine_rides(self.rides, self.period)
+        checked = [c for c in NOT_NULL["stg_rides_quarantine"] if c in rejected.columns]
+        return keep(rejected.select(*checked)) if self.materialize else rejected
 
     @cached_property
     def journal(self) -> DataFrame:
@@ -64,7 +66,8 @@ class Ledger:
 
     @cached_property
     def trial_balance(self) -> DataFrame:
-        return self._keep(balances.trial_balance(self.ledger))
+        tb = balances.trial_balance(self.ledger)
+        return keep(tb) if self.materialize else tb
 
     @cached_property
     def is_detail(self) -> DataFrame:

@@ -508,13 +508,14 @@ IMPACT_CHAINS = {"clean": (), "prevented_faults": tuple(S.DEFAULT_FAULTS), "coun
 def fault_impact(spark, sf_dir):
     """Income statement and gate figures before and after fault injection.
 
-    All scenarios go through one plan: the rides are marked once, given out per scenario, and
+    All scenarios go through one plan: the rides are written once with the heads of their hashes, each
+    scenario is a projection of them, and all are
     staged and posted by (scenario, order).
     """
     books = _full(spark, sf_dir).books
     rides = faults.fault_scenarios(books.rides, IMPACT_CHAINS)
     tags = (faults.SCENARIO,)
-    staged = keep(staging.stage_rides(rides, FULL, tags=tags))
+    staged = keep(staging.stage_rides(rides, FULL, tags=tags).select(*tags, *journal.RIDE_INPUTS))
     gl = posting.general_ledger(journal.journal_entries(staged, tags), books.rules, books.accounts, tags=tags)
     cat, net = F.col("account_category"), F.col("net_balance")
     pnl = balances.trial_balance(gl, tags=tags).groupBy(*tags).agg(
