@@ -29,6 +29,7 @@ Scale notes
   counted rows: a range-partitioned running sum of copies per (order, ride,
   reason) and an ``explode(sequence(..))`` restore one row per copy, so no
   group is listed in one task.
+* ``staged_and_rejected`` makes both outputs in one shuffle and one sort, for plans that read both.
 """
 
 from __future__ import annotations
@@ -293,7 +294,7 @@ def quarantine_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OU
             _number_copies(counted, COPIES_A_BLOCK))
     else:
         numbered = _numbered_rejects(src, threshold, dedup_scope, inside)
-    out = numbered.select(
+    return numbered.select(
         LF.quarantine_id(F.col("order_id"), F.col("ride_id"), F.col("rejection_reason"),
                          F.col("reject_seq")).alias("quarantine_id"),
         "order_id", "ride_id", "scooter_id",
@@ -311,4 +312,58 @@ def quarantine_rides(rides: DataFrame, period: Period, threshold: Decimal = S.OU
         "city", "country", "rejection_reason",
         *(["reject_seq"] if with_seq else []),
     )
-    return out
+
+
+def _marked_rides(rides: DataFrame, period: Period, threshold: Decimal) -> DataFrame:
+    """Staged and rejected rides of orders that are not crowded, in one shuffle and one sort.
+
+    Rows are numbered inside (order, guard, ride); an order's first row is the first one of the ride
+    that starts first, so the windows over whole orders need no other sort.
+    """
+    guard, inside, copy = F.col("_guard"), F.col("_inside"), F.col("_copy")
+    rows = (classify(rides.where(before_end(period)), threshold)
+            .select(*S.RIDE_COLUMNS, F.col("rejection_reason").alias("_guard"),
+                    in_period_by_start(period).alias("_inside"))
+            .repartition("order_id", "_guard"))
+    of_ride = Window.partitionBy("order_id", "_guard", "_inside", "ride_id").orderBy(*ride_order(("start_time",)))
+    of_order = Window.partitionBy("order_id", "_guard")
+    # no null start time comes before the period's end; null ride ids are last
+    head = F.struct("start_time", F.col("ride_id").isNull().alias("no_ride"), "ride_id")
+    rows = rows.withColumn("_copy", F.row_number().over(of_ride)).select(
+        "*", F.min(F.when(copy == 1, F.col("start_time"))).over(of_order).alias("_earliest"),
+        F.min(F.when((copy == 1) & inside, head)).over(of_order).alias("_head"))
+    # duplicates are those of the period, but an order that starts before it is not staged
+    of_first_ride = guard.isNull() & F.col("ride_id").eqNullSafe(F.col("_head.ride_id"))
+    first = of_first_ride & (copy == 1)
+    rows = rows.where(inside & (~first | (F.col("_earliest") >= ts_literal(period.start))))
+    return rows.select(
+        *S.RIDE_COLUMNS,
+        F.when(~first, F.coalesce(guard, F.lit(S.DUPLICATE_REASON))).alias("rejection_reason"),
+        F.when(~first, copy - of_first_ride.cast("int")).alias("reject_seq"))
+
+
+def staged_and_rejected(rides: DataFrame, period: Period, threshold: Decimal = S.OUTLIER_THRESHOLD) -> DataFrame:
+    """Rows of ``stage_rides`` and of ``quarantine_rides`` (each by its default scope) in one frame.
+
+    Staged rows have neither ``rejection_reason`` nor ``quarantine_id``; of rejected rows only these two
+    and ``order_id`` are filled, which is what checks read. Crowded orders take their own ways.
+    """
+    crowded = _crowded_buckets(rides.where(before_end(period)), COPIES_A_BLOCK)
+    if crowded:
+        spread = F.array_contains(F.lit(crowded), _bucket())
+        hot = rides.where(spread)
+        clean = guard_outlier(guard_not_null(hot.where(before_end(period))), threshold)
+        winners = first_per_order(clean).where(in_period_by_start(period)).select(
+            *S.RIDE_COLUMNS, F.lit(None).cast("string").alias("rejection_reason"), F.lit(None).cast("int").alias("reject_seq"))
+        counted = _counted_rejects(hot.where(in_period_by_start(period)), threshold, "period")
+        rows = (_marked_rides(rides.where(~spread), period, threshold).unionByName(winners)
+                .unionByName(_number_copies(counted, COPIES_A_BLOCK)))
+    else:
+        rows = _marked_rides(rides, period, threshold)
+    reason = F.col("rejection_reason")
+    typed = staged_projection(rows, tags=("rejection_reason", "reject_seq"))
+    return typed.select(
+        reason, F.when(reason.isNotNull(), LF.quarantine_id(F.col("order_id"), F.col("ride_id"), reason,
+                                                            F.col("reject_seq"))).alias("quarantine_id"),
+        "order_id", *[F.when(reason.isNull(), F.col(c)).alias(c) for c in typed.columns
+                      if c not in ("order_id", "rejection_reason", "reject_seq")])

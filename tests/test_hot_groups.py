@@ -10,7 +10,7 @@ from ledgerflow import Period
 from ledgerflow import schemas as S
 from ledgerflow.operators import faults, staging
 from ledgerflow.operators.ranking import running_sum
-from ledgerflow.plans.context import FULL
+from ledgerflow.plans.context import FULL, Ledger
 from ledgerflow.sources import adapter
 from tests import fixtures
 
@@ -115,3 +115,37 @@ def test_orders_that_are_not_crowded_meet_once(spark):
     q = staging.quarantine_rides(adapter.adapter_rides(spark, "/root/testdata/sf0.001"), FULL, with_seq=True)
     p = q._jdf.queryExecution().executedPlan().toString()
     assert p.count("lineitem.parquet") == 1 and p.count("Exchange hashpartitioning(order_id") == 1
+
+
+def test_one_pass_stages_and_rejects_like_two(spark, many_pieces, monkeypatch):
+    def both(period):
+        rows = staging.staged_and_rejected(rides, period)
+        staged = rows.where("rejection_reason IS NULL").drop("rejection_reason", "quarantine_id")
+        ids = rows.where("rejection_reason IS NOT NULL").select("quarantine_id", "order_id", "rejection_reason")
+        return sorted(map(str, staged.collect())), sorted(map(str, ids.collect()))
+
+    base = datetime(2026, 1, 3, 8, 0)
+    # orders with equal rows, null rides and rows before the period; the null order has clean rows, too
+    more = [(o, None if i % 5 == 0 else i % 3, 1, base + timedelta(days=i % 4 * 30 - 31), base, i % 4, 1.0, Decimal("5.18"),
+             0.24, Decimal("1.24"), Decimal("6.42"), "EUR", None, None, "Tallinn", "Estonia")
+            for o in ("h", "k", None) for i in range(0 if o == "h" else 1, 40)]
+    late = [("late", r, 1, base, base, 1, 1.0, Decimal("5.18"), 0.24, Decimal("1.24"), Decimal("6.42"), "EUR", None, None,
+             "Tallinn", "Estonia") for r in (None, 2, 2, 1)]
+    rides = hot_rides(spark).unionByName(fixtures.rides(spark)).unionByName(spark.createDataFrame(more + late, S.RIDES))
+    for period in (Period.month(2026, 1), Period(datetime(2025, 1, 1).date(), datetime(2027, 1, 1).date())):
+        staged = staging.stage_rides(rides, period)
+        want = (sorted(map(str, staged.select("order_id", *[c for c in staged.columns if c != "order_id"]).collect())),
+                sorted(map(str, staging.quarantine_rides(rides, period).select(
+                    "quarantine_id", "order_id", "rejection_reason").collect())))
+        assert want[0] and want[1] and both(period) == want
+        with monkeypatch.context() as m:
+            m.setattr(staging, "COPIES_A_BLOCK", 7)
+            assert both(period) == want
+
+
+def test_checked_layers_share_one_shuffle_of_the_rides(spark):
+    rows = staging.staged_and_rejected(adapter.adapter_rides(spark, "/root/testdata/sf0.001"), FULL)
+    p = rows._jdf.queryExecution().executedPlan().toString()
+    assert p.count("lineitem.parquet") == 1 and p.count("Exchange hashpartitioning(") == 1 and p.count("Sort [") == 1
+    lg = Ledger(spark, "/root/testdata/sf0.001", FULL, materialize=True)
+    assert lg.staged.inputFiles() == lg.quarantine.inputFiles()
