@@ -164,6 +164,14 @@ def test_accepted_values_counts_distinct_bad_values(books):
     assert r[0].failures == 1
 
 
+def test_accepted_values_of_one_table_are_counted_in_one_pass(spark):
+    rows = [("x", "p"), ("x", None), ("y", "q"), (None, "r"), ("ok", "ok"), ("x", "p")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    checks = quality.accepted_values_of(df, "m", [("a", ["ok"]), ("b", ["ok", "q"])])
+    assert sorted(tuple(r) for r in checks.collect()) == [("m", "accepted_values", "a", 2), ("m", "accepted_values", "b", 2)]
+    assert [r.failures for r in quality.accepted_values_of(df.limit(0), "m", [("a", ["ok"]), ("b", ["ok"])]).collect()] == [0, 0]
+
+
 def test_tie_order_is_deterministic(spark, books):
     # ties on start time and ride id inside an order resolve the same way every run
     a = staging.quarantine_rides(books.rides, JAN, with_seq=True).orderBy("quarantine_id").collect()
