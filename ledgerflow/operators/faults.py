@@ -14,21 +14,24 @@ rows may share the boundary hash, equal rows included.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from decimal import ROUND_FLOOR, Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
+from ledgerflow.operators import staging
 from ledgerflow.operators.ranking import running_sum
 from ledgerflow.operators.staging import order_columns, ride_order
 from ledgerflow.session import keep, store
 
 # Stop narrowing once the boundary prefix holds at most this many rows (more where one hash does).
 BOUNDARY_ROWS = 20_000
-# Digits of a hash that are written beside the rows several faults pick among.
-HEAD = 8
+# Digits of a hash that are written beside the rows several faults pick among; where they do not tell
+# enough rows apart, further digits are hashed again.
+HEAD = 4
 
 
 def fault_count(rows: int, rate: float) -> int:
@@ -168,6 +171,11 @@ def inject_faults(df: DataFrame, faults=tuple(S.DEFAULT_FAULTS), seed=S.FAULT_SE
 SCENARIO = "scenario"
 
 
+def _changes(fault: str) -> list[str]:
+    """The columns that a fault changes."""
+    return {"duplicate": [], "country": ["country"]}.get(fault, S.MONEY_COLUMNS)
+
+
 def _changed(fault: str, cols: dict[str, Column], df: DataFrame) -> dict[str, Column]:
     """What a fault makes of the columns of a row it hits."""
     if fault == "null":
@@ -179,7 +187,101 @@ def _changed(fault: str, cols: dict[str, Column], df: DataFrame) -> dict[str, Co
 
 def fault_scenarios(rides: DataFrame, chains: dict[str, tuple[str, ...]], seed=S.FAULT_SEED,
                     rates: dict | None = None) -> DataFrame:
-    """``rides`` as every chain of faults leaves them, in one table with the chain's name in ``scenario``.
+    """``rides`` as every chain of faults leaves them, in one table with the chain's name in ``scenario``."""
+    return scenarios(rides, chains, seed, rates).rows()
+
+
+@dataclass(frozen=True)
+class Scenarios:
+    """Rides and what every chain of faults makes of them (see ``scenarios``)."""
+
+    columns: list[str]
+    chains: dict[str, tuple[str, ...]]
+    # the rides and those on the boundary of a fault; the latter with their marks
+    base: DataFrame
+    edge: DataFrame | None
+    # per fault: the column with the head of its hash, and the boundary's prefix
+    heads: dict[str, str]
+    prefixes: dict[str, str]
+    # per beginning of a chain: the column that marks the rides its last fault hits
+    marks: dict[tuple[str, ...], str]
+    # per chain: what it makes of each column
+    views: dict[str, dict[str, Column]]
+
+    def on_boundary(self, faults) -> Column:
+        on = F.lit(False)
+        for f in faults:
+            on = on | F.col(self.heads[f]).startswith(self.prefixes[f][:HEAD])
+        return on
+
+    def _marked(self, marks: dict[tuple[str, ...], str]) -> DataFrame:
+        """All rides with the given marks."""
+        if not marks:
+            return self.base.select(*self.columns)
+        faults = sorted({chain[-1] for chain in marks})
+        hit = {mark: F.col(self.heads[chain[-1]]) < F.lit(self.prefixes[chain[-1]][:HEAD]) for chain, mark in marks.items()}
+        return (self.base.where(~self.on_boundary(faults)).withColumns(hit).select(*self.columns, *hit)
+                .unionByName(self.edge.where(self.on_boundary(faults)).select(*self.columns, *hit)))
+
+    def rows(self) -> DataFrame:
+        """The rows of every scenario, with its name."""
+        out = []
+        for name, chain in self.chains.items():
+            marked = self._marked({chain[:i + 1]: self.marks[chain[:i + 1]] for i in range(len(chain))})
+            if chain[-1:] == ("duplicate",):
+                copies = F.when(F.col(self.marks[chain]), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+                marked = marked.withColumn("_copy", F.explode(copies))
+            out.append(marked.select(F.lit(name).alias(SCENARIO), *[v.alias(c) for c, v in self.views[name].items()]))
+        return reduce(DataFrame.unionByName, out)
+
+    def _chosen(self, marked: DataFrame, names: Column) -> DataFrame:
+        """The rows of the scenarios in the array ``names`` of each ride."""
+        rows = marked.withColumn(SCENARIO, F.explode(names))
+        scenario = F.col(SCENARIO)
+        twice = F.lit(False)
+        for name, chain in self.chains.items():
+            if chain[-1:] == ("duplicate",):
+                twice = twice | (scenario.eqNullSafe(F.lit(name)) & F.col(self.marks[chain]))
+        rows = rows.withColumn("_copy", F.explode(F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+        changed = {}
+        for c in self.columns:
+            value = F.col(c)
+            for name, chain in self.chains.items():
+                if any(c in _changes(f) for f in chain):
+                    value = F.when(scenario == name, self.views[name][c]).otherwise(value)
+            changed[c] = value
+        return rows.select(SCENARIO, *[v.alias(c) for c, v in changed.items()])
+
+    def by_order(self) -> list[DataFrame]:
+        """The rows of every scenario, the orders that no fault hits only once, under no scenario's name.
+
+        Such an order's rows are the same in all scenarios, and so is what is made of them order by order:
+        ``each`` gives it to every scenario. The rides are shuffled once, by order, for all scenarios. The frames
+        share no order; crowded orders are in one of their own, which is not shuffled here.
+        """
+        marked = self._marked(self.marks)
+        hit = F.lit(False)
+        for mark in self.marks.values():
+            hit = hit | F.col(mark)
+        names = F.array(*[F.lit(n) for n in self.chains])
+        crowded = staging.crowded_buckets(self.base)
+        spread = staging.in_buckets(crowded)
+        rest = marked.where(~spread) if crowded else marked
+        touched = F.max(hit).over(Window.partitionBy("order_id"))
+        rest = rest.repartition("order_id").withColumn("_touched", touched)
+        out = [self._chosen(rest, F.when(F.col("_touched"), names).otherwise(F.array(F.lit(None).cast("string"))))]
+        return [*out, self._chosen(marked.where(spread), names)] if crowded else out
+
+    def each(self, df: DataFrame) -> DataFrame:
+        """Rows under no scenario's name stand in every scenario."""
+        scenario = F.col(SCENARIO)
+        names = F.when(scenario.isNull(), F.array(*[F.lit(n) for n in self.chains])).otherwise(F.array(scenario))
+        return df.withColumn(SCENARIO, F.explode(names))
+
+
+def scenarios(rides: DataFrame, chains: dict[str, tuple[str, ...]], seed=S.FAULT_SEED,
+              rates: dict | None = None) -> Scenarios:
+    """``rides`` and what every chain of faults makes of them.
 
     The rows of a scenario are those of ``inject_faults(rides, chain)``. No fault but the duplicate
     changes the number of rows, and none the ids that picks are hashed from, so the rides are written
@@ -199,14 +301,10 @@ def fault_scenarios(rides: DataFrame, chains: dict[str, tuple[str, ...]], seed=S
     rows = base.count() if texts else 0
     bounds = _boundaries(base, {text: fault_count(rows, rates[f]) for f, text in texts.items()}, heads)
 
-    def on_boundary(faults) -> Column:
-        on = F.lit(False)
-        for f in faults:
-            on = on | F.col(heads[texts[f]]).startswith(bounds[texts[f]][0][:HEAD])
-        return on
-
-    edge = store(base.where(on_boundary(texts)), "boundaries") if texts else None
     marks, views = {}, {}
+    found = Scenarios(rides.columns, dict(chains), base, None, {f: heads[t] for f, t in texts.items()},
+                      {f: bounds[t][0] for f, t in texts.items()}, marks, views)
+    edge = store(base.where(found.on_boundary(texts)), "boundaries") if texts else None
     for name, chain in chains.items():
         view = {c: F.col(c) for c in rides.columns}
         for i, fault in enumerate(chain):
@@ -222,16 +320,4 @@ def fault_scenarios(rides: DataFrame, chains: dict[str, tuple[str, ...]], seed=S
                 view = view | {c: F.when(F.col(mark), new).otherwise(view[c])
                                for c, new in _changed(fault, view, rides).items()}
         views[name] = view
-    out = []
-    for name, chain in chains.items():
-        marked = base
-        if chain:
-            hit = {marks[chain[:i + 1]]: F.col(heads[texts[f]]) < F.lit(bounds[texts[f]][0][:HEAD])
-                   for i, f in enumerate(chain)}
-            marked = (base.where(~on_boundary(chain)).withColumns(hit).select(*rides.columns, *hit)
-                      .unionByName(edge.where(on_boundary(chain)).select(*rides.columns, *hit)))
-        if chain[-1:] == ("duplicate",):
-            copies = F.when(F.col(marks[chain]), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-            marked = marked.withColumn("_copy", F.explode(copies))
-        out.append(marked.select(F.lit(name).alias(SCENARIO), *[v.alias(c) for c, v in views[name].items()]))
-    return reduce(DataFrame.unionByName, out)
+    return replace(found, edge=edge)
